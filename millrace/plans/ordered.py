@@ -41,8 +41,11 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return int(row["top"] or 0), int(row["all"] or 0)
 
 
-def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def join_bounded(df: DataFrame, small: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """Join on null-safe ``names`` with a side that has at most a few rows per slice."""
+    renamed = small.withColumnsRenamed({n: f"_r{n}" for n in names})
+    on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_r{n}")) for n in names])
+    return df.join(F.broadcast(renamed), on, how).drop(*[f"_r{n}" for n in names])
 
 
 class Ordered:
@@ -92,9 +95,7 @@ class Ordered:
 
     def _join_carry(self, df: DataFrame, carry: DataFrame) -> DataFrame:
         # one row per slice at most, so its size is bounded by the slice count
-        names = ["_slice", *self.keys]
-        joined = df.join(F.broadcast(carry), null_safe(df, carry, names), "left")
-        return joined.drop(*[carry[n] for n in names])
+        return join_bounded(df, carry, ["_slice", *self.keys], "left")
 
     # -- operations ------------------------------------------------------
 
@@ -173,18 +174,16 @@ class Ordered:
             (F.col("_through") - F.col("_n")).alias("_before"),
         )
         spanning = through.where("_next is not null").select("_slice", *self.keys, "_through")
-        names = ["_slice", *self.keys]
-        ends = self.df.join(F.broadcast(spanning), null_safe(self.df, spanning, names), "inner")
-        ends = ends.drop(*[spanning[n] for n in names])
+        ends = join_bounded(self.df, spanning, ["_slice", *self.keys], "inner")
         newest = F.row_number().over(self._window(descending=True))
         tails = ends.withColumn("_back", newest).where(F.col("_back") <= size)
         # a tail row is needed only where fewer than `size` rows lie in between
         match = reduce(
             lambda a, b: a & b,
             [
-                tails["_slice"] < targets["_to"],
-                targets["_before"] - tails["_through"] < size,
-                *[tails[k].eqNullSafe(targets[f"_k{k}"]) for k in self.keys],
+                F.col("_slice") < F.col("_to"),
+                F.col("_before") - F.col("_through") < size,
+                *[F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in self.keys],
             ],
         )
         halo = tails.join(F.broadcast(targets), match).withColumn("_slice", F.col("_to"))

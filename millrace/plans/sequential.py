@@ -40,8 +40,12 @@ def fold_sorted(
     new_state: Callable[[], object],
     step: Callable[[object, pd.DataFrame], pd.DataFrame],
     schema: str,
+    finish: Callable[[tuple, object], pd.DataFrame] | None = None,
 ) -> DataFrame:
-    """Apply ``step(state, rows)`` to each key's rows in order, batch by batch."""
+    """Apply ``step(state, rows)`` to each key's rows in order, batch by batch.
+
+    ``finish(key, state)`` may add rows after the last row of a key.
+    """
     keys = list(keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -53,10 +57,14 @@ def fold_sorted(
             for _, part in batch.groupby(boundary.cumsum(), sort=False):
                 key = tuple(part.iloc[0][keys])
                 if key != current:
+                    if finish and current is not None:
+                        yield finish(current, state)
                     current, state = key, new_state()
                 out = step(state, part)
                 if len(out):
                     yield out
+        if finish and current is not None:
+            yield finish(current, state)
 
     spread = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return spread.mapInPandas(run, schema)

@@ -16,6 +16,7 @@ def local_session(cpus: str | int = "*", **conf: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("millrace")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "12g")
