@@ -270,7 +270,7 @@ def _(spark, sf):
 
 @query("set_5_fuzzy_dedup", """
 WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER (ORDER BY vec_id) AS i FROM embeddings),
-n AS (SELECT a.i, list(b.i) FILTER (b.i IS NOT NULL) AS near FROM e a LEFT JOIN e b ON b.i < a.i AND list_cosine_similarity(a.v, b.v) >= 0.5 GROUP BY 1),
+n AS MATERIALIZED (SELECT a.i, list(b.i) FILTER (b.i IS NOT NULL) AS near FROM e a LEFT JOIN e b ON b.i < a.i AND list_cosine_similarity(a.v, b.v) >= 0.5 GROUP BY 1),
 g(i, kept) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
   SELECT n.i, CASE WHEN list_has_any(kept, coalesce(near, CAST([] AS BIGINT[]))) THEN kept ELSE list_append(kept, n.i) END FROM g JOIN n ON n.i = g.i + 1),
 f AS (SELECT kept FROM g ORDER BY i DESC LIMIT 1)

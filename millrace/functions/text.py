@@ -12,6 +12,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # fixed values: patterns
 URL = r"https?://[a-z!$-_]+"  # the range $-_ holds digits, capitals and most punctuation
@@ -73,12 +74,12 @@ def text_metadata(text: Column) -> dict[str, Column]:
     }
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def remove_accents(text: pd.Series) -> pd.Series:
     def bare(t):
         return None if t is None else "".join(
