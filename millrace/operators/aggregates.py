@@ -469,23 +469,20 @@ def dataset_checksum(files: DataFrame, dataset: str, path: str, digest: str, siz
     """
     import hashlib
 
-    class State:
-        def __init__(self):
-            self.hash, self.files, self.size = hashlib.sha256(), 0, 0
-
-    def step(state, rows):
-        state.hash.update("".join(rows[digest]).encode())
-        state.files += len(rows)
-        state.size += int(rows[size].sum())
-        return rows.iloc[:0]
-
-    def finish(key, state):
+    def step(memory, rows, ranges):
+        if ranges[0][2]:
+            memory.update(hash=hashlib.sha256(), files=0, size=0)
+        memory["hash"].update("".join(rows[digest]).encode())
+        memory["files"] += len(rows)
+        memory["size"] += int(rows[size].sum())
+
+    def finish(key, memory):
         return pd.DataFrame(
-            {dataset: [key[0]], "files": [state.files], "bytes": [state.size], "checksum": [state.hash.hexdigest()]}
+            {dataset: [key[0]], "files": [memory["files"]], "bytes": [memory["size"]], "checksum": [memory["hash"].hexdigest()]}
         )
 
     return fold_sorted(
-        files.select(dataset, path, digest, size), [dataset], [path], State, step,
+        files.select(dataset, path, digest, size), [dataset], [path], step,
         f"{dataset} string, files bigint, bytes bigint, checksum string", finish,
     )
 

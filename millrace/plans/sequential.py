@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,38 +34,49 @@ def segments_by_gap(
     return numbered.drop("_prev", "_start")
 
 
+# Ranges of a batch that belong to one key: (first row, end, whether the key starts here).
+Ranges = list[tuple[int, int, bool]]
+
+
 def fold_sorted(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    new_state: Callable[[], object],
-    step: Callable[[object, pd.DataFrame], pd.DataFrame],
+    step: Callable[[dict, pd.DataFrame, Ranges], pd.DataFrame],
     schema: str,
-    finish: Callable[[tuple, object], pd.DataFrame] | None = None,
+    finish: Callable[[tuple, dict], pd.DataFrame] | None = None,
 ) -> DataFrame:
-    """Apply ``step(state, rows)`` to each key's rows in order, batch by batch.
+    """Apply ``step(memory, rows, ranges)`` to sorted rows, one Arrow batch at a time.
 
-    ``finish(key, state)`` may add rows after the last row of a key.
+    ``memory`` is the state of the last key seen; a step clears it for every
+    range that starts a key. With ``finish(key, memory)`` each range is stepped
+    on its own, and rows may be added after the last row of a key. Keys must
+    not be null.
     """
     keys = list(keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = None, None
+        current, memory = None, {}
         for batch in batches:
             if batch.empty:
                 continue
-            boundary = (batch[keys] != batch[keys].shift()).any(axis=1)
-            for _, part in batch.groupby(boundary.cumsum(), sort=False):
-                key = tuple(part.iloc[0][keys])
-                if key != current:
-                    if finish and current is not None:
-                        yield finish(current, state)
-                    current, state = key, new_state()
-                out = step(state, part)
+            changed = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy()
+            first = tuple(batch[k].iloc[0] for k in keys)
+            starts = [0, *(i for i in np.flatnonzero(changed).tolist() if i)]
+            ranges = [(a, b, a > 0 or first != current) for a, b in zip(starts, [*starts[1:], len(batch)])]
+            if finish is None:
+                out = step(memory, batch, ranges)
                 if len(out):
                     yield out
+            else:
+                for a, b, new in ranges:
+                    if new and current is not None:
+                        yield finish(current, memory)
+                    current = tuple(batch[k].iloc[a] for k in keys)
+                    step(memory, batch.iloc[a:b], [(0, b - a, new)])
+            current = tuple(batch[k].iloc[-1] for k in keys)
         if finish and current is not None:
-            yield finish(current, state)
+            yield finish(current, memory)
 
     spread = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return spread.mapInPandas(run, schema)
