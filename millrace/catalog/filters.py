@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import views as v
 from millrace.catalog.aggregates import LABELLED, labelled
-from millrace.catalog.registry import query, r6, table
+from millrace.catalog.registry import query, r6, table, texts
 from millrace.operators import aggregates as a
 from millrace.operators import filters as f
 
@@ -143,7 +143,7 @@ SELECT doc_id, n_chars FROM documents WHERE length(regexp_replace(regexp_replace
 def _(spark, sf):
     from millrace.functions.text import clean_text
 
-    return f.long_enough(table(spark, sf, "documents"), clean_text(F.col("text"))).select("doc_id", "n_chars")
+    return f.long_enough(texts(spark, sf), clean_text(F.col("text"))).select("doc_id", "n_chars")
 
 
 @query("flt_12_recommendations", f"""WITH {v.TELEMETRY}, {v.USAGE},

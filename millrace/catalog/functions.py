@@ -3,14 +3,14 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog import views as v
-from millrace.catalog.registry import query, r6, table
+from millrace.catalog.registry import query, r6, table, texts
 from millrace.functions import text as t
 from millrace.functions import values as val
 
 
 def docs_with(spark, sf, *extra):
     """Documents with a literal appended, so that the function has something to do."""
-    return table(spark, sf, "documents").select("doc_id", F.concat(F.col("text"), *extra).alias("text"))
+    return texts(spark, sf).select("doc_id", F.concat(F.col("text"), *extra).alias("text"))
 
 
 def digest(df, column):
@@ -25,7 +25,7 @@ WITH d AS (SELECT doc_id, '  ' || text || '   A  b' || chr(10) || chr(10) || chr
 c AS (SELECT doc_id, lower(regexp_replace(regexp_replace(regexp_replace(text, ' +', ' ', 'g'), '\n\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS x FROM d)
 SELECT doc_id, {SHAPE} FROM c""")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("  "), "text", F.lit("   A  b\n\n\nc   ")).alias("text"))
+    docs = texts(spark, sf).select("doc_id", F.concat(F.lit("  "), "text", F.lit("   A  b\n\n\nc   ")).alias("text"))
     return digest(docs, t.clean_whitespace(F.col("text"), lower=True))
 
 
@@ -58,7 +58,7 @@ SELECT doc_id, CAST(length(text) AS INT) AS char_count, CAST(len(ws) AS INT) AS
   CASE WHEN len(ws) > 0 THEN len(list_filter(ws, lambda x: x IN ('the', 'a', 'an', 'and', 'or', 'but', 'in', 'on', 'at'))) / len(ws) > 0.05 END AS likely_english FROM w""")
 def _(spark, sf):
     meta = t.text_metadata(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in meta.items()])
+    return texts(spark, sf).select("doc_id", *[c.alias(n) for n, c in meta.items()])
 
 
 @query("fun_5_nfkc")
@@ -69,7 +69,7 @@ def _(spark, sf):
 
 @query("fun_6_remove_accents", f"WITH c AS (SELECT doc_id, strip_accents(text) AS x FROM documents) SELECT doc_id, {SHAPE} FROM c")
 def _(spark, sf):
-    return digest(table(spark, sf, "documents"), t.remove_accents("text"))
+    return digest(texts(spark, sf), t.remove_accents("text"))
 
 
 def contractions_sql(column):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog import views as v
-from millrace.catalog.registry import query, r4, table
+from millrace.catalog.registry import query, r4, table, texts
 from millrace.functions.text import text_metadata
 from millrace.operators import models as m
 from millrace.operators import topk
@@ -15,7 +15,7 @@ FEATURES = ["chars", "words", "lines", "sentences", "english", "toxic"]
 
 def featured(spark, sf):
     meta = text_metadata(F.col("text"))
-    docs = table(spark, sf, "documents").select(
+    docs = texts(spark, sf).select(
         "doc_id", meta["char_count"].alias("chars"), meta["word_count"].alias("words"), meta["line_count"].alias("lines"),
         meta["sentence_count"].alias("sentences"), F.coalesce(meta["likely_english"], F.lit(False)).cast("int").alias("english"),
     )

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.plans.layout import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over all cores for functions that work through whole texts."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def r6(column: Column | str) -> Column:
     """Doubles are compared at six places; adding zero removes a negative zero."""
     column = F.col(column) if isinstance(column, str) else column

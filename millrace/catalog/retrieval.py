@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from millrace.catalog.registry import query, r4, r6, table
+from millrace.catalog.registry import query, r4, r6, table, texts
 from millrace.functions import udfs
 from millrace.operators import chunking as c
 from millrace.operators import retrieval as r
@@ -27,14 +27,14 @@ def digested(df, *columns):
 
 @query("chk_1_fixed_chunks", CHUNKS)
 def _(spark, sf):
-    return digested(c.fixed_chunks(table(spark, sf, "documents"), "doc_id", "text"), "doc_id", "start_idx", "end_idx")
+    return digested(c.fixed_chunks(texts(spark, sf), "doc_id", "text"), "doc_id", "start_idx", "end_idx")
 
 
 @query("udf_7_chunk_function", CHUNKS)
 def _(spark, sf):
     c.register_chunk_function(spark)
     return spark.sql(
-        "SELECT doc_id, chunk_id, md5(k.text) AS digest, start_idx, end_idx FROM {d} d, LATERAL sentence_chunks(d.text) k", d=table(spark, sf, "documents")
+        "SELECT doc_id, chunk_id, md5(k.text) AS digest, start_idx, end_idx FROM {d} d, LATERAL sentence_chunks(d.text) k", d=texts(spark, sf)
     )
 
 
@@ -44,7 +44,7 @@ g AS (SELECT doc_id, text, s, unnest(range(0, len(s), 5)) AS i FROM s),
 j AS (SELECT doc_id, i // 5 AS chunk, array_to_string(s[i + 1:i + 5], ' ') AS t, strpos(text, s[i + 1]) - 1 AS pos FROM g)
 SELECT doc_id, CAST(chunk AS INT) AS chunk_id, md5(t) AS digest, CAST(pos AS INT) AS start_idx, CAST(pos + length(t) AS INT) AS end_idx FROM j""")
 def _(spark, sf):
-    return digested(c.sentence_chunks(table(spark, sf, "documents"), "doc_id", "text"), "doc_id", "start_idx", "end_idx")
+    return digested(c.sentence_chunks(texts(spark, sf), "doc_id", "text"), "doc_id", "start_idx", "end_idx")
 
 
 @query("chk_3_separator_chunks", r"""
@@ -66,13 +66,13 @@ g AS (SELECT doc_id, w, unnest(range(0, len(w), 462)) AS s FROM w)
 SELECT doc_id, CAST(s // 462 AS INT) AS chunk_id, md5(array_to_string(w[s + 1:s + 512], ' ')) AS digest, CAST(s AS INT) AS start_idx, CAST(s + 512 AS INT) AS end_idx,
   CAST(len(w[s + 1:s + 512]) AS INT) AS token_count FROM g""")
 def _(spark, sf):
-    return digested(c.word_chunks(table(spark, sf, "documents"), "doc_id", "text"), "doc_id", "start_idx", "end_idx", "token_count")
+    return digested(c.word_chunks(texts(spark, sf), "doc_id", "text"), "doc_id", "start_idx", "end_idx", "token_count")
 
 
 @query("chk_5_corpus_chunks")
 def _(spark, sf):
     meta = F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"))
-    out = c.corpus_chunks(table(spark, sf, "documents"), "doc_id", "text", udfs.hashing_embedder(64), meta)
+    out = c.corpus_chunks(texts(spark, sf), "doc_id", "text", udfs.hashing_embedder(64), meta)
     return out.select("id", "doc_id", F.length("text").alias("chars"), F.size("embedding").alias("dimensions"), F.col("metadata")["lang"].alias("lang"))
 
 
@@ -164,7 +164,7 @@ def _(spark, sf):
 @query("udf_1_embedding")
 def _(spark, sf):
     embed = udfs.hashing_embedder(64)
-    out = table(spark, sf, "documents").select("doc_id", embed("text").alias("embedding"))
+    out = texts(spark, sf).select("doc_id", embed("text").alias("embedding"))
     return out.select("doc_id", F.size("embedding").alias("dimensions"), r4(F.element_at("embedding", 1)).alias("first"))
 
 

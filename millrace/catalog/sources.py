@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog import views as v
-from millrace.catalog.registry import query, r4, r6, table
+from millrace.catalog.registry import query, r6, table, texts
 from millrace.session import new_path
 from millrace.sources import scans as s
 
@@ -194,7 +194,7 @@ def _(spark, sf):
     from millrace.functions.udfs import hashing_embedder
 
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    docs = table(spark, sf, "documents").select("doc_id", "text").join(vectors, "doc_id", "left")
+    docs = texts(spark, sf).select("doc_id", "text").join(vectors, "doc_id", "left")
     docs = docs.withColumn("supplied", F.col("embedding").isNotNull())
     embed = hashing_embedder(64)
     fill = lambda df: df.withColumn("embedding", F.when(F.length("text") > 100, embed(F.col("text"))))

@@ -80,8 +80,8 @@ def _(spark, sf):
         (value / 300).alias("battery_drain_rate"), (-k).alias("wifi_rssi"),
     )
     hits = f.rule_events(seen).withColumn("wait", cooldown_column())
-    step = s.cooldown_step("us", "wait", list(KEEP))
-    return run_available(s.keyed_stream(hits, ["user_id", "rule"], ["us", "event_id"], step, "event_id bigint, rule string"))
+    step = s.cooldown_step("us", "wait", list(KEEP), part="rule")
+    return run_available(s.keyed_stream(hits, ["user_id"], ["us", "event_id"], step, "event_id bigint, rule string"))
 
 
 MAX_BYTES, MAX_AGE = 300_000, 86_400_000_000

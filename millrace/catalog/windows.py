@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import views as v
 from millrace.catalog.aggregates import labelled  # noqa: F401
 from millrace.catalog.functions import folded
-from millrace.catalog.registry import query, r4, r6, table
+from millrace.catalog.registry import query, r4, r6, table, texts
 from millrace.operators import sets as s
 from millrace.operators import topk as k
 from millrace.operators import windows as w
@@ -141,7 +141,7 @@ WITH s AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\s+', '\1' |
 x AS (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM s)
 SELECT doc_id, CAST(i - 1 AS INT) AS position, md5(array_to_string(s[greatest(i - 1, 1):i + 1], ' ')) AS digest FROM x""")
 def _(spark, sf):
-    out = w.neighbour_context(table(spark, sf, "documents"), "doc_id", F.split("text", r"(?<=[.!?])\s+"))
+    out = w.neighbour_context(texts(spark, sf), "doc_id", F.split("text", r"(?<=[.!?])\s+"))
     return out.select("doc_id", "position", F.md5("context").alias("digest"))
 
 

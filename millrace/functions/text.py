@@ -90,10 +90,18 @@ def remove_accents(text: pd.Series) -> pd.Series:
 
 
 def expand_contractions(text: Column) -> Column:
-    """Every entry in order, any case, no word boundary, lower-case expansion."""
-    for short, long in CONTRACTIONS.items():
-        text = F.regexp_replace(text, f"(?i){short}", long)
-    return text
+    """Every entry in order, any case, no word boundary, lower-case expansion.
+
+    No entry holds a blank, so only pieces with an apostrophe are searched.
+    """
+
+    def expand(piece: Column) -> Column:
+        for short, long in CONTRACTIONS.items():
+            piece = F.regexp_replace(piece, f"(?i){short}", long)
+        return piece
+
+    pieces = F.split(text, r"(?<=\s)")
+    return F.array_join(F.transform(pieces, lambda p: F.when(F.contains(p, F.lit("'")), expand(p)).otherwise(p)), "")
 
 
 def redact_secrets(text: Column) -> Column:

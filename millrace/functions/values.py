@@ -29,6 +29,11 @@ def from_epoch_ms(ms: Column) -> Column:
     return F.timestamp_millis(ms)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, also inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
@@ -40,8 +45,8 @@ def norm(a: Column) -> Column:
 
 def normalise(a: Column) -> Column:
     """Unit vector; a zero vector stays as it is."""
-    size = norm(a)
-    return F.transform(a, lambda x: F.when(size > 0, x.cast("double") / size).otherwise(x.cast("double")))
+    scaled = lambda size: F.transform(a, lambda x: F.when(size > 0, x.cast("double") / size).otherwise(x.cast("double")))
+    return bind(norm(a), scaled)
 
 
 def cosine(a: Column, b: Column) -> Column:

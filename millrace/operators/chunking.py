@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from millrace.functions.text import strip, words
+from millrace.plans.layout import spread
 
 SENTENCE_END = re.compile(r"[.!?]\s+", re.ASCII)
 BLANK = " \t\n\r\x0b\x0c"
@@ -53,13 +54,10 @@ def fixed_chunks(docs: DataFrame, key: str, text: str, size: int = 512, overlap:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for k, t in zip(b[key], b[text]):
-                if t:
-                    out = pd.DataFrame(sentence_aware_chunks(t, size, overlap), columns=["chunk_id", "text", "start_idx", "end_idx"])
-                    out.insert(0, key, k)
-                    yield out
+            rows = [(k, *c) for k, t in zip(b[key], b[text]) if t for c in sentence_aware_chunks(t, size, overlap)]
+            yield pd.DataFrame(rows, columns=[key, "chunk_id", "text", "start_idx", "end_idx"])
 
-    return docs.select(key, text).mapInPandas(run, f"{key} {kind}, chunk_id int, text string, start_idx int, end_idx int")
+    return spread(docs.select(key, text), key).mapInPandas(run, f"{key} {kind}, chunk_id int, text string, start_idx int, end_idx int")
 
 
 def register_chunk_function(spark: SparkSession, name: str = "sentence_chunks") -> None:

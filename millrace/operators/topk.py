@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.values import bind
 from millrace.plans.ordered import Ordered
 
 
@@ -25,10 +26,10 @@ def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 
 def softmax(logits: Column) -> Column:
-    peak = F.array_max(logits).cast("double")
-    raised = F.transform(logits, lambda x: F.exp(x.cast("double") - peak))
-    total = F.aggregate(raised, F.lit(0.0), lambda s, x: s + x)
-    return F.transform(raised, lambda x: x / total)
+    total = lambda raised: F.aggregate(raised, F.lit(0.0), lambda s, x: s + x)
+    shares = lambda raised: bind(total(raised), lambda t: F.transform(raised, lambda x: x / t))
+    raise_ = lambda peak: F.transform(logits, lambda x: F.exp(x.cast("double") - peak))
+    return bind(bind(F.array_max(logits).cast("double"), raise_), shares)
 
 
 def top_classes(df: DataFrame, key: str, logits: Column, k: int = 5) -> DataFrame:

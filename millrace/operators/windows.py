@@ -8,27 +8,66 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import traffic_bucket
 from millrace.plans.ordered import Ordered
+from millrace.plans.sequential import Ranges, fold_sorted
 
 
 def rolling_zscore(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, size: int = 300, warm_up: int = 30,
     limit: float = 3.0, hot_rows: int | None = None,
 ) -> DataFrame:
-    """z of each value against its last ``size`` values, itself included."""
-    rolled = Ordered(df, keys, order, hot_rows).rolling(
-        size,
-        _mean=lambda w: F.avg(value).over(w),
-        _std=lambda w: F.stddev_samp(value).over(w),
-        _n=lambda w: F.count(value).over(w),
-    )
-    z = F.abs(F.col(value) - F.col("_mean")) / (F.coalesce(F.col("_std"), F.lit(0.0)) + 1e-9)
-    z = F.when(F.col("_n") >= warm_up, z).otherwise(0.0)
-    return rolled.withColumn("z", z).withColumn("is_anomaly", F.col("z") > limit).drop("_mean", "_std", "_n")
+    """z of each value against its last ``size`` values, itself included.
+
+    A window function folds every frame anew, value by value; here the sorted
+    rows stream through vectorised frames instead. Hot keys come in slices,
+    each led by the rows its first frames reach back to.
+    """
+    ordered = Ordered(df, keys, order, hot_rows)
+    rows = ordered.with_halo(size - 1) if ordered.sliced else ordered.df
+    parts = [*(["_slice"] if ordered.sliced else []), *keys]
+
+    def step(memory: dict, batch: pd.DataFrame, ranges: Ranges) -> pd.DataFrame:
+        z = np.empty(len(batch))
+        values = batch[value].to_numpy("float64")
+        before = np.empty(0) if ranges[0][2] else memory["tail"]
+        line = np.concatenate([before, values])
+        # rows of the same key up to and including each row, at most one frame
+        depth = np.concatenate([np.arange(b - a) for a, b, _ in ranges]) + 1
+        depth[: ranges[0][1]] += len(before)
+        depth = np.minimum(depth, size)
+        padded = np.concatenate([np.full(size - 1, np.nan), line])
+        frames = sliding_window_view(padded, size)[len(before):]
+        for at in range(0, len(batch), FRAMES):
+            z[at : at + FRAMES] = frame_scores(frames[at : at + FRAMES], depth[at : at + FRAMES], warm_up)
+        memory["tail"] = line[len(line) - min(int(depth[-1]), size - 1):] if size > 1 else np.empty(0)
+        return batch.assign(z=z, is_anomaly=z > limit)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", z double, is_anomaly boolean"
+    out = fold_sorted(rows, parts, order, step, schema)
+    return out.where(~F.col("_halo")).drop("_halo", "_slice") if ordered.sliced else out
+
+
+FRAMES = 4096
+
+
+def frame_scores(frames: np.ndarray, depth: np.ndarray, warm_up: int) -> np.ndarray:
+    """z of the last value of each frame among its last ``depth`` values, nulls left out."""
+    size = frames.shape[1]
+    used = (np.arange(size) >= size - depth[:, None]) & ~np.isnan(frames)
+    n = used.sum(axis=1)
+    values = np.where(used, frames, 0.0)
+    mean = values.sum(axis=1) / np.maximum(n, 1)
+    away = np.where(used, frames - mean[:, None], 0.0)
+    std = np.sqrt((away * away).sum(axis=1) / np.maximum(n - 1, 1))
+    z = np.abs(frames[:, -1] - mean) / (std + 1e-9)
+    return np.where((n >= warm_up) & ~np.isnan(frames[:, -1]), z, 0.0)
 
 
 def channel_events(df: DataFrame, entity: str, order: Sequence[str], channels: Sequence[str], **kw) -> DataFrame:

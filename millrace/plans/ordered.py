@@ -153,12 +153,12 @@ class Ordered:
         if not self.sliced:
             frame = self._window().rowsBetween(1 - size, Window.currentRow)
             return self.df.select("*", *[fn(frame).alias(n) for n, fn in columns.items()])
-        rows = self._with_halo(size - 1)
+        rows = self.with_halo(size - 1)
         frame = self._window().rowsBetween(1 - size, Window.currentRow)
         out = rows.select("*", *[fn(frame).alias(n) for n, fn in columns.items()])
         return out.where(~F.col("_halo")).drop("_halo", "_slice")
 
-    def _with_halo(self, size: int) -> DataFrame:
+    def with_halo(self, size: int) -> DataFrame:
         """Slices plus, ahead of each, the last ``size`` rows before it of its first key."""
         counts = self.df.groupBy("_slice", *self.keys).agg(F.count(F.lit(1)).alias("_n"))
         per_key = Window.partitionBy(*self.keys).orderBy("_slice")

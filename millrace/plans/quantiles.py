@@ -30,9 +30,10 @@ def exact_quantiles(
     limit = ordered.HOT_ROWS if hot_rows is None else hot_rows
     top, _ = ordered.largest_group(df, keys)
     if top <= limit and not by_index:
-        return df.groupBy(*keys).agg(
-            *[F.percentile(value, F.lit(float(q))).alias(n) for n, q in quantiles.items()]
-        )
+        # one aggregate keeps one table of values for all quantiles
+        wanted = F.percentile(value, F.array(*[F.lit(float(q)) for q in quantiles.values()]))
+        found = df.groupBy(*keys).agg(wanted.alias("_q"))
+        return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(quantiles)])
     ranked = ordered.running_total_over_groups(df, keys, value, limit)
     totals = df.groupBy(*[F.col(k).alias(f"_g{k}") for k in keys]).agg(
         F.count(F.lit(1)).alias("_rows")

@@ -50,18 +50,21 @@ def fold_sorted(
 
     ``memory`` is the state of the last key seen; a step clears it for every
     range that starts a key. With ``finish(key, memory)`` each range is stepped
-    on its own, and rows may be added after the last row of a key. Keys must
-    not be null.
+    on its own, and rows may be added after the last row of a key.
     """
     keys = list(keys)
 
+    def key_at(batch: pd.DataFrame, i: int) -> tuple:
+        return tuple(None if pd.isna(v) else v for v in (batch[k].iloc[i] for k in keys))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, memory = None, {}
         for batch in batches:
             if batch.empty:
                 continue
-            changed = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy()
-            first = tuple(batch[k].iloc[0] for k in keys)
+            here, before = batch[keys], batch[keys].shift()
+            changed = ((here != before) & ~(here.isna() & before.isna())).any(axis=1).to_numpy()
+            first = key_at(batch, 0)
             starts = [0, *(i for i in np.flatnonzero(changed).tolist() if i)]
             ranges = [(a, b, a > 0 or first != current) for a, b in zip(starts, [*starts[1:], len(batch)])]
             if finish is None:
@@ -72,9 +75,9 @@ def fold_sorted(
                 for a, b, new in ranges:
                     if new and current is not None:
                         yield finish(current, memory)
-                    current = tuple(batch[k].iloc[a] for k in keys)
+                    current = key_at(batch, a)
                     step(memory, batch.iloc[a:b], [(0, b - a, new)])
-            current = tuple(batch[k].iloc[-1] for k in keys)
+            current = key_at(batch, -1)
         if finish and current is not None:
             yield finish(current, memory)
 

@@ -4,21 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans.ordered import Ordered
 
 
 def save_raw(df: DataFrame, path: str, saved_at: str) -> DataFrame:
-    """CSV plus a one-row JSON sidecar; the rows are counted while they are written."""
+    """CSV plus a one-row JSON sidecar."""
     spark = df.sparkSession
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.option("header", True).csv(f"{path}/data")
+    df.write.option("header", True).csv(f"{path}/data")
+    rows = df.count()
     size = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{path}/data").agg(F.sum("length")).first()[0]
     meta = spark.createDataFrame(
-        [(path.rsplit("/", 1)[-1], seen.get["rows"], len(df.columns), df.columns, saved_at, size)], SIDECAR
+        [(path.rsplit("/", 1)[-1], rows, len(df.columns), df.columns, saved_at, size)], SIDECAR
     )
     meta.write.json(f"{path}/metadata")
     return meta

@@ -29,7 +29,10 @@ def keyed_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[str], s
     import json
 
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(list(order), kind="stable").reset_index(drop=True)
+        parts = list(frames)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        if len(rows) > 1:
+            rows = rows.sort_values(list(order), kind="stable", ignore_index=True)
         memory = json.loads(state.get[0]) if state.exists else {}
         out = step(memory, rows, [(0, len(rows), not state.exists)])
         state.update((json.dumps(memory),))
@@ -62,17 +65,29 @@ def zscore_step(value: str, keep: Sequence[str], size: int = 300, warm_up: int =
 # -- cooldown ------------------------------------------------------------------------------
 
 
-def cooldown_step(ts: str, cooldown: str, keep: Sequence[str]) -> Step:
-    """Fire, then stay silent until the cooldown has passed since the last firing."""
+def cooldown_step(ts: str, cooldown: str, keep: Sequence[str], part: str | None = None) -> Step:
+    """Fire, then stay silent until the cooldown has passed since the last firing.
+
+    With ``part`` the rows of a key hold several independent series, told apart
+    by that column and kept in one memory.
+    """
 
     def step(memory: dict, rows: pd.DataFrame, ranges: Ranges) -> pd.DataFrame:
+        if part:
+            rows = rows.sort_values(part, kind="stable", ignore_index=True)
+            edges = [0, *(np.flatnonzero((rows[part] != rows[part].shift()).to_numpy()[1:]) + 1).tolist(), len(rows)]
+            series = [(a, b, rows[part].iat[a]) for a, b in zip(edges, edges[1:])]
+        else:
+            series = [(a, b, "last") for a, b, _ in ranges]
         times, waits = rows[ts].to_numpy("int64"), rows[cooldown].to_numpy("int64")
         fired = np.zeros(len(rows), bool)
-        for a, b, new in ranges:
+        for n, (a, b, name) in enumerate(series):
+            if not part and ranges[n][2]:
+                memory.clear()
             wait = int(waits[a])
-            i = a if new else a + int(np.searchsorted(times[a:b], memory["last"] + wait))
+            i = a if name not in memory else a + int(np.searchsorted(times[a:b], memory[name] + wait))
             while i < b:
-                fired[i], memory["last"] = True, int(times[i])
+                fired[i], memory[name] = True, int(times[i])
                 i = max(i + 1, a + int(np.searchsorted(times[a:b], times[i] + wait)))
         return rows.loc[fired, list(keep)]
 
