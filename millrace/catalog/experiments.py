@@ -55,12 +55,12 @@ def _(spark, sf):
     return e.mean_test(v.requests(spark, sf), "variant", "feedback", "baseline", "canary")
 
 
-@query("exp_5_sample_gate", f"""WITH {LOG}, s AS (SELECT 'user-' || user_id AS variant, count(*) AS n FROM requests GROUP BY 1)
-SELECT bool_and(n >= 60) AS ready, coalesce(string_agg(variant, ',' ORDER BY variant) FILTER (n < 60), '') AS too_small, CAST(sum(n) AS BIGINT) AS requests,
-  CASE WHEN bool_and(n >= 60) THEN 'enough samples' ELSE 'insufficient samples' END AS reason FROM s""")
+@query("exp_5_sample_gate", f"""WITH {LOG}, s AS (SELECT variant || '/' || endpoint AS variant, count(*) AS n FROM requests GROUP BY 1)
+SELECT bool_and(n >= 1000) AS ready, coalesce(string_agg(variant, ',' ORDER BY variant) FILTER (n < 1000), '') AS too_small, CAST(sum(n) AS BIGINT) AS requests,
+  CASE WHEN bool_and(n >= 1000) THEN 'enough samples' ELSE 'insufficient samples' END AS reason FROM s""")
 def _(spark, sf):
-    named = v.requests(spark, sf).withColumn("variant", F.concat(F.lit("user-"), "user_id"))
-    return e.sample_gate(request_stats(named, ["variant"]), 60)
+    named = v.requests(spark, sf).withColumn("variant", F.concat_ws("/", "variant", "endpoint"))
+    return e.sample_gate(request_stats(named, ["variant"]), 1000)
 
 
 STAGES = """st AS (SELECT endpoint, strftime(ts, '%Y-%m-%d') AS stage, variant, count(*) AS requests, count(*) FILTER (NOT success AND k > 70) AS errors, avg(latency) AS latency,

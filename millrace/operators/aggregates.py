@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.plans.ordered import Ordered
 from millrace.plans.quantiles import exact_quantiles
 from millrace.plans.sequential import fold_sorted
+from millrace.session import materialise
 
 PERCENTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99, "p999": 0.999}
 
@@ -241,9 +242,8 @@ def score_counts(df: DataFrame, score: str, truth: str) -> DataFrame:
 
 def roc_auc(df: DataFrame, score: str, truth: str, hot_rows: int | None = None) -> DataFrame:
     """Share of (positive, negative) pairs in the right order, ties counted half."""
-    ranked = Ordered(score_counts(df, score, truth), [], ["score"], hot_rows).running(
-        below=("sum", F.col("neg"))
-    )
+    counts = materialise(score_counts(df, score, truth), "scores")
+    ranked = Ordered(counts, [], ["score"], hot_rows).running(below=("sum", F.col("neg")))
     pairs = F.sum(F.col("pos") * (2 * F.col("below") - F.col("neg")))
     return ranked.agg(
         F.sum("pos").alias("positives"),
@@ -253,7 +253,7 @@ def roc_auc(df: DataFrame, score: str, truth: str, hot_rows: int | None = None)
 
 
 def roc_curve(df: DataFrame, score: str, truth: str, hot_rows: int | None = None) -> DataFrame:
-    counts = score_counts(df, score, truth).withColumn("_down", -F.col("score"))
+    counts = materialise(score_counts(df, score, truth).withColumn("_down", -F.col("score")), "scores")
     total = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     points = Ordered(counts, [], ["_down"], hot_rows).running(
         tp=("sum", F.col("pos")), fp=("sum", F.col("neg"))

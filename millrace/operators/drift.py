@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.stats import kolmogorov_tail
 from millrace.operators.joins import category_frequencies
 from millrace.plans.ordered import Ordered
+from millrace.session import materialise
 
 
 def sided(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -26,7 +27,8 @@ def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[st
     Rows are counted per distinct value first; the running counts over those
     are taken in slices when a feature has very many values.
     """
-    counts = sided(reference, current, features).groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    sums = sided(reference, current, features).groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    counts = materialise(sums, "counts")
     totals = counts.groupBy("feature").agg(F.sum("r").alias("n"), F.sum("c").alias("m"))
     run = Ordered(counts, ["feature"], ["value"], hot_rows).running(cr=("sum", F.col("r")), cc=("sum", F.col("c")))
     # one row per feature

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.stats import normal_two_sided, t_two_sided
 from millrace.plans.ordered import Ordered
 from millrace.plans.quantiles import exact_quantiles
+from millrace.session import materialise
 
 
 def _sides(name, first, second, **aggs):
@@ -43,7 +44,7 @@ def rank_sum_test(
     """
     rows = requests.where(F.col(variant).isin(first, second) & F.col(value).isNotNull())
     side = lambda v: F.count_if(F.col(variant) == v)
-    counts = rows.groupBy(F.col(value).alias("v")).agg(side(first).alias("a"), side(second).alias("b"))
+    counts = materialise(rows.groupBy(F.col(value).alias("v")).agg(side(first).alias("a"), side(second).alias("b")), "counts")
     run = Ordered(counts, [], ["v"], hot_rows).running(below=("sum", F.col("b")))
     t = F.col("a") + F.col("b")
     sums = run.agg(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip
-from millrace.session import materialise
+from millrace.session import materialise, new_path
 
 log = logging.getLogger(__name__)
 
@@ -67,7 +67,8 @@ def fuzzy_dedup(df: DataFrame, key: str, vector: str, threshold: float = 0.95, b
     """
     same = df.groupBy(vector).agg(F.min(key).alias(key))
     left = materialise(same.select(key, vector), "undecided")
-    rounds = []
+    kept_path = new_path(df.sparkSession, "kept")
+    df.sparkSession.createDataFrame([], df.select(key).schema).write.parquet(kept_path)
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
     while True:
         head = left.orderBy(key).limit(block).toPandas()
@@ -78,7 +79,7 @@ def fuzzy_dedup(df: DataFrame, key: str, vector: str, threshold: float = 0.95, b
         keep = np.zeros(len(rows), bool)
         for i in range(len(rows)):
             keep[i] = not close[i, :i][keep[:i]].any()
-        rounds.append(df.sparkSession.createDataFrame(head.loc[keep, [key]], df.select(key).schema))
+        df.sparkSession.createDataFrame(head.loc[keep, [key]], df.select(key).schema).write.mode("append").parquet(kept_path)
         if len(head) < block:
             break
         leaders, last = rows[keep], head[key].iloc[-1]
@@ -90,7 +91,5 @@ def fuzzy_dedup(df: DataFrame, key: str, vector: str, threshold: float = 0.95, b
                     yield b[~near.any(axis=1)]
 
         left = materialise(left.where(F.col(key) > F.lit(last)).mapInPandas(far, left.schema), "undecided")
-    kept = rounds[0]
-    for other in rounds[1:]:
-        kept = kept.unionByName(other)
+    kept = df.sparkSession.read.schema(df.select(key).schema).parquet(kept_path)
     return df.select(key).join(kept.withColumn("kept", F.lit(True)), key, "left").na.fill(False, ["kept"])

@@ -170,8 +170,9 @@ def eviction(files: DataFrame, quota: Column, low_water: float = 0.60, trigger:
 
 def failure_streaks(df: DataFrame, key: str, order: Sequence[str], ok: str, threshold: int = 3, hot_rows: int | None = None) -> DataFrame:
     """Failures in a row up to each check; unhealthy from the third on."""
-    counted = Ordered(df, [key], order, hot_rows).running(_pos=("count", F.lit(1)))
-    marked = Ordered(counted, [key], order, hot_rows).running(_ok=("max", F.when(F.col(ok), F.col("_pos"))))
+    rows = Ordered(df, [key], order, hot_rows)
+    counted = rows.running(_pos=("count", F.lit(1)))
+    marked = Ordered(counted, [key], order, hot_rows, rows.sizes).running(_ok=("max", F.when(F.col(ok), F.col("_pos"))))
     streak = F.col("_pos") - F.coalesce(F.col("_ok"), F.lit(0))
     return marked.withColumn("streak", streak).withColumn("unhealthy", streak >= threshold).drop("_pos", "_ok")
 
@@ -212,11 +213,12 @@ def throughput(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Recent and overall samples per second and the seconds left, per step."""
-    with_prev = Ordered(df, [key], order, hot_rows).lag(_prev=F.col(ts_us))
+    rows = Ordered(df, [key], order, hot_rows)
+    with_prev = rows.lag(_prev=F.col(ts_us))
     seconds = (F.col(ts_us) - F.col("_prev")) / 1e6
     rated = with_prev.withColumn("_rate", F.try_divide(F.col(samples).cast("double"), seconds))
-    recent = Ordered(rated, [key], order, hot_rows).rolling(size, recent=lambda w: F.avg("_rate").over(w))
-    done = Ordered(recent, [key], order, hot_rows).running(_done=("sum", F.col(samples)), _start=("min", F.col(ts_us)))
+    recent = Ordered(rated, [key], order, hot_rows, rows.sizes).rolling(size, recent=lambda w: F.avg("_rate").over(w))
+    done = Ordered(recent, [key], order, hot_rows, rows.sizes).running(_done=("sum", F.col(samples)), _start=("min", F.col(ts_us)))
     overall = F.try_divide(F.col("_done").cast("double"), (F.col(ts_us) - F.col("_start")) / 1e6)
     left = F.greatest(F.lit(total) - F.col("_done"), F.lit(0.0))
     eta = F.when(F.coalesce(overall, F.lit(0.0)) > 0, left / overall).otherwise(F.lit(float("inf")))
@@ -225,5 +227,8 @@ def throughput(
 
 def peaks(df: DataFrame, key: str, order: Sequence[str], value: str, reset: Column, hot_rows: int | None = None) -> DataFrame:
     """Running maximum that starts over at every reset row."""
-    grouped = Ordered(df, [key], order, hot_rows).running(period=("sum", reset.cast("int")))
-    return Ordered(grouped, [key, "period"], order, hot_rows).running(peak=("max", F.col(value)))
+    rows = Ordered(df, [key], order, hot_rows)
+    grouped = rows.running(period=("sum", reset.cast("int")))
+    # a period is never larger than its key
+    sizes = None if rows.sliced else rows.sizes
+    return Ordered(grouped, [key, "period"], order, hot_rows, sizes).running(peak=("max", F.col(value)))

@@ -57,10 +57,12 @@ class Ordered:
         keys: Sequence[str],
         order: Sequence[str],
         hot_rows: int | None = None,
+        sizes: tuple[int, int] | None = None,
     ):
+        """``sizes`` of an earlier look at the same rows and keys saves counting again."""
         self.keys, self.order = list(keys), list(order)
         limit = HOT_ROWS if hot_rows is None else hot_rows
-        top, total = largest_group(df, self.keys)
+        self.sizes = top, total = sizes or largest_group(df, self.keys)
         self.sliced = top > limit
         if self.sliced:
             slices = max(2, -(-total // limit))
@@ -195,5 +197,5 @@ def running_total_over_groups(
     df: DataFrame, keys: Sequence[str], value: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Rows per distinct ``value`` of each key with the count up to and including it."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")), "counts")
     return Ordered(counts, keys, [value], hot_rows).running(cum=("sum", F.col("n")))

@@ -27,10 +27,11 @@ def segments_by_gap(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``segment``: a running number that grows where ``starts(previous)`` holds."""
-    lagged = Ordered(df, keys, order, hot_rows).lag(_prev=previous)
+    rows = Ordered(df, keys, order, hot_rows)
+    lagged = rows.lag(_prev=previous)
     first = F.col("_prev").isNull() | starts(F.col("_prev"))
     marked = lagged.withColumn("_start", F.coalesce(first, F.lit(True)).cast("long"))
-    numbered = Ordered(marked, keys, order, hot_rows).running(segment=("sum", F.col("_start")))
+    numbered = Ordered(marked, keys, order, hot_rows, rows.sizes).running(segment=("sum", F.col("_start")))
     return numbered.drop("_prev", "_start")
 
 

@@ -140,10 +140,12 @@ def rotation_batch(
 ) -> DataFrame:
     """An anomaly, and a frame that comes ``max_age`` or more after the one before it, close
     a file whatever came before; the next frame starts a segment."""
-    lagged = Ordered(df, keys, order, hot_rows).lag(previous=F.col(ts), _bad=F.col(anomaly))
+    rows = Ordered(df, keys, order, hot_rows)
+    lagged = rows.lag(previous=F.col(ts))
     sure = F.col(anomaly) | F.coalesce(F.col(ts) - F.col("previous") >= max_age, F.lit(False))
-    marked = Ordered(lagged.withColumn("_sure", sure.cast("long")), keys, order, hot_rows).running(_closed=("sum", F.col("_sure")))
-    cut = marked.withColumn("segment", F.col("_closed") - F.col("_sure")).drop("_bad", "_sure", "_closed")
+    sure_rows = lagged.withColumn("_sure", sure.cast("long"))
+    marked = Ordered(sure_rows, keys, order, hot_rows, rows.sizes).running(_closed=("sum", F.col("_sure")))
+    cut = marked.withColumn("segment", F.col("_closed") - F.col("_sure")).drop("_sure", "_closed")
     schema = ", ".join(f"{n} {t}" for n, t in keep.items()) + ", " + ROTATION
     return fold_sorted(cut, [*keys, "segment"], order, rotation_step(ts, size, anomaly, list(keep), max_bytes, max_age), schema)
 
