@@ -160,10 +160,12 @@ def _(spark, sf):
     return out.select("event_id", "flushed_at", "reason", size.alias("size"))
 
 
-@query("str_6_batching_stream", f"{BATCHES} SELECT o.event_id, b.flushed AS flushed_at, b.why AS reason FROM o JOIN b ON b.endpoint = o.endpoint AND o.rn BETWEEN lo AND hi")
+@query("str_6_batching_stream", f"""{BATCHES}, last AS (SELECT endpoint, max(hi) AS top FROM b GROUP BY 1)
+SELECT o.event_id, b.flushed AS flushed_at, b.why AS reason FROM o JOIN b ON b.endpoint = o.endpoint AND o.rn BETWEEN lo AND hi JOIN last ON last.endpoint = b.endpoint WHERE hi < top OR why = 'size'""")
 def _(spark, sf):
-    step = s.batching_step("us", ["event_id"], MAX_BATCH, TIMEOUT)
-    out = s.keyed_stream(arrivals(live(spark, sf)), ["endpoint"], ["us", "event_id"], step, "event_id bigint, " + s.BATCHING)
+    # the last queue of an endpoint stays open until a later request settles it
+    step = s.batching_step("us", ["event_id", "us"], MAX_BATCH, TIMEOUT)
+    out = s.keyed_stream(arrivals(live(spark, sf)), ["endpoint"], ["us", "event_id"], step, "event_id bigint, us bigint, " + s.BATCHING)
     return run_available(out).select("event_id", "flushed_at", "reason")
 
 

@@ -167,11 +167,11 @@ r AS (SELECT *, epoch_us(ts) AS us, k / ((epoch_us(ts) - lag(epoch_us(ts)) OVER
 x AS (SELECT *, avg(rate) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS recent,
   sum(k) OVER o AS done, min(us) OVER o AS st FROM r WINDOW o AS (PARTITION BY user_id ORDER BY event_id))
 SELECT user_id, event_id, round(recent, 6) AS recent, round(CASE WHEN us > st THEN done / ((us - st) / 1e6) END, 6) AS overall,
-  round(CASE WHEN us > st AND done > 0 THEN greatest(10000 - done, 0) / (done / ((us - st) / 1e6)) END, 4) AS eta FROM x""")
+  round(CASE WHEN us > st AND done > 0 THEN greatest(10000 - done, 0) / (done / ((us - st) / 1e6)) END, 2) AS eta FROM x""")
 def _(spark, sf):
     steps = v.telemetry(spark, sf).withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
     out = w.throughput(steps, "user_id", ["event_id"], "us", "k", 10000.0)
-    eta = F.when(F.col("eta") != float("inf"), r4("eta"))
+    eta = F.when(F.col("eta") != float("inf"), F.round("eta", 2))
     return out.withColumns({"recent": r6("recent"), "overall": r6("overall"), "eta": eta})
 
 

@@ -46,12 +46,14 @@ def fold_sorted(
     step: Callable[[dict, pd.DataFrame, Ranges], pd.DataFrame],
     schema: str,
     finish: Callable[[tuple, dict], pd.DataFrame] | None = None,
+    close: Callable[[dict], pd.DataFrame] | None = None,
 ) -> DataFrame:
     """Apply ``step(memory, rows, ranges)`` to sorted rows, one Arrow batch at a time.
 
     ``memory`` is the state of the last key seen; a step clears it for every
     range that starts a key. With ``finish(key, memory)`` each range is stepped
-    on its own, and rows may be added after the last row of a key.
+    on its own, and rows may be added after the last row of a key; ``close(memory)``
+    may add rows after the last row of a task.
     """
     keys = list(keys)
 
@@ -81,6 +83,8 @@ def fold_sorted(
             current = key_at(batch, -1)
         if finish and current is not None:
             yield finish(current, memory)
+        if close and current is not None:
+            yield close(memory)
 
     spread = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return spread.mapInPandas(run, schema)

@@ -157,12 +157,21 @@ def batching_step(ts: str, keep: Sequence[str], max_size: int = 32, timeout: int
     """Batch number, flush time and reason per request.
 
     A queue is flushed when it is full, or at the later of its first request
-    and the end of the timeout since the flush before.
+    and the end of the timeout since the flush before. ``keep`` includes
+    ``ts``. Requests whose flush is not settled by the rows at hand, fewer than
+    ``max_size``, wait in memory for the next ones.
     """
 
     def step(memory: dict, rows: pd.DataFrame, ranges: Ranges) -> pd.DataFrame:
+        held = memory.pop("open", [])
+        if held:
+            rows = pd.concat([pd.DataFrame(held, columns=list(keep)), rows[list(keep)]], ignore_index=True)
+            moved = [(a + len(held), b + len(held), new) for a, b, new in ranges]
+            a, b, new = moved[0]
+            ranges = [(0, len(held), False), *moved] if new else [(0, b, False), *moved[1:]]
         times, n = rows[ts].to_numpy("int64"), len(rows)
         number, flushed, why = np.zeros(n, "int64"), np.zeros(n, "int64"), np.empty(n, object)
+        done = n
         for a, b, new in ranges:
             batch, last = (0, None) if new else (memory["batch"], memory["last"])
             i = a
@@ -170,16 +179,34 @@ def batching_step(ts: str, keep: Sequence[str], max_size: int = 32, timeout: int
                 due = int(times[i]) if last is None else max(int(times[i]), last + timeout)
                 j = a + int(np.searchsorted(times[a:b], due, side="right"))
                 full = j - i >= max_size
+                if j == n and not full:
+                    done = i
+                    break
                 j = i + max_size if full else j
                 last = int(times[j - 1]) if full else due
                 number[i:j], flushed[i:j], why[i:j] = batch, last, "size" if full else "timeout"
                 i, batch = j, batch + 1
             memory.update(batch=batch, last=last)
-        return rows[list(keep)].assign(batch=number, flushed_at=flushed, reason=why)
+        memory["open"] = rows[list(keep)].iloc[done:].to_dict("records")
+        return rows[list(keep)].assign(batch=number, flushed_at=flushed, reason=why).iloc[:done]
 
     return step
 
 
+def close_batch(ts: str, keep: Sequence[str], timeout: int) -> Callable[[dict], pd.DataFrame]:
+    """The requests still waiting, flushed by their timeout."""
+
+    def close(memory: dict) -> pd.DataFrame:
+        rows = pd.DataFrame(memory.get("open", []), columns=list(keep))
+        if rows.empty:
+            return rows.assign(batch=0, flushed_at=0, reason="")
+        first = int(rows[ts].iloc[0])
+        due = first if memory["last"] is None else max(first, memory["last"] + timeout)
+        return rows.assign(batch=memory["batch"], flushed_at=due, reason="timeout")
+
+    return close
+
+
 BATCHING = "batch bigint, flushed_at bigint, reason string"
 
 
@@ -190,7 +217,9 @@ def batching_batch(
     """After twice the timeout without a request the queue is empty and its clock has run out."""
     cut = segments_by_gap(df, keys, order, lambda prev: F.col(ts) - prev >= 2 * timeout, F.col(ts), hot_rows)
     schema = ", ".join(f"{n} {t}" for n, t in {**keep, "segment": "bigint"}.items()) + ", " + BATCHING
-    return fold_sorted(cut, [*keys, "segment"], order, batching_step(ts, [*keep, "segment"], max_size, timeout), schema)
+    kept = [*keep, "segment"]
+    step, close = batching_step(ts, kept, max_size, timeout), close_batch(ts, kept, timeout)
+    return fold_sorted(cut, [*keys, "segment"], order, step, schema, close=close)
 
 
 def batch_statistics(batched: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

@@ -76,6 +76,53 @@ def test_batching_covers_every_request(rows):
     assert top[0] == 4 and top[1] <= 0
 
 
+def test_batching_in_pieces(rows, stream):
+    """A queue that spans two files is the same queue."""
+    keep = {**KEEP, "us": "bigint"}
+    step = s.batching_step("us", list(keep), 4, 20)
+    live = run_available(s.keyed_stream(stream(), ["k"], ORDER, step, KEPT + "us bigint, " + s.BATCHING)).select("id", "flushed_at", "reason")
+    got = {r["id"]: (r["flushed_at"], r["reason"]) for r in live.collect()}
+    batch = s.batching_batch(rows, ["k"], ORDER, "us", keep, 4, 20, hot_rows=50)
+    want = {r["id"]: (r["flushed_at"], r["reason"]) for r in batch.collect()}
+    queue, last, flushed = {}, {}, {}
+    for r in rows.orderBy("us", "id").collect():
+        k, t = r["k"], r["us"]
+        q = queue.setdefault(k, [])
+        due = None if not q else max(q[0][1], last.get(k, -10**9) + 20)
+        if q and t > due:
+            flushed.update({i: (due, "timeout") for i, _ in q})
+            last[k], queue[k] = due, []
+            q = queue[k]
+        q.append((r["id"], t))
+        if len(q) == 4:
+            flushed.update({i: (t, "size") for i, _ in q})
+            last[k], queue[k] = t, []
+    assert got == flushed
+    open_rows = {i for q in queue.values() for i, _ in q}
+    assert {i: v for i, v in want.items() if i not in open_rows} == flushed and set(want) == set(flushed) | open_rows
+
+
+@pytest.mark.parametrize("records", ["7", "64"])
+def test_folds_do_not_depend_on_arrow_batches(spark, rows, records):
+    runs = {
+        "cooldown": lambda: s.cooldown_batch(rows.withColumn("wait", F.lit(25)), ["k"], ORDER, "us", "wait", KEEP),
+        "rotation": lambda: s.rotation_batch(rows, ["k"], ORDER, "us", "size", "bad", KEEP, 300, 90),
+        "limit": lambda: s.rate_limit_batch(rows, ["k"], ORDER, "us", "bad", KEEP, 3, 60),
+        "queue": lambda: s.batching_batch(rows, ["k"], ORDER, "us", {**KEEP, "us": "bigint"}, 4, 20),
+    }
+    from millrace.operators.windows import rolling_zscore
+
+    runs["zscore"] = lambda: rolling_zscore(rows, ["k"], ORDER, "ms", size=40, limit=1.5).select("id", F.round("z", 9), "is_anomaly")
+    collect = lambda: {n: sorted(map(repr, f().collect())) for n, f in runs.items()}
+    whole, name = collect(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, records)
+    try:
+        assert collect() == whole
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_zscore_state(rows, stream):
     from millrace.operators.windows import rolling_zscore
 
