@@ -133,9 +133,9 @@ def _(spark, sf):
 
 
 @query("vec_4_prompts", f"""WITH {PACKED}
-SELECT CAST(query AS BIGINT) AS query, CASE WHEN context <> '' THEN md5('You are a helpful assistant. Answer the question based on the provided context. If the answer cannot be found in the context, say so.'
-  || chr(10) || chr(10) || 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: about ' || query || chr(10) || chr(10) || 'Answer:') END AS prompt,
-  CASE WHEN context = '' THEN 'No relevant information found.' END AS answer FROM ctx""")
+SELECT CAST(q.query AS BIGINT) AS query, CASE WHEN context <> '' THEN md5('You are a helpful assistant. Answer the question based on the provided context. If the answer cannot be found in the context, say so.'
+  || chr(10) || chr(10) || 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: about ' || q.query || chr(10) || chr(10) || 'Answer:') END AS prompt,
+  CASE WHEN coalesce(context, '') = '' THEN 'No relevant information found.' END AS answer FROM q LEFT JOIN ctx ON ctx.query = q.query""")
 def _(spark, sf):
     asked = centres(spark, sf).select("query", F.concat(F.lit("about "), "query").alias("question"))
     return r.prompts(asked, packed(spark, sf), "query", "question").withColumn("prompt", F.md5("prompt"))
