@@ -15,15 +15,18 @@ FRAMES = f"""{v.TELEMETRY}, frames AS (
   FROM telemetry)"""
 
 
-def frames(spark, sf):
+def frame_columns():
     value, k = F.col("value"), F.col("k")
-    return v.telemetry(spark, sf).select(
-        "event_id", "user_id", "ts", value.alias("battery_pct"), (k / 5.0).alias("motor_current_A"),
-        (value / 20).alias("linear_accel_mps2"), (k / 100.0).alias("obstacle_dist_m"),
-        (F.col("event_type") == "error").alias("has_fatal_log"), (k % 2).alias("restart_count"),
-        (value * 0.8).alias("motor_temp_C"), (k == 7).alias("nav_stuck"), k.alias("cpu_temp_C"),
-        (k != 9).alias("slam_localized"), (value / 300).alias("battery_drain_rate"), (-k).alias("wifi_rssi"),
-    )
+    return [
+        value.alias("battery_pct"), (k / 5.0).alias("motor_current_A"), (value / 20).alias("linear_accel_mps2"),
+        (k / 100.0).alias("obstacle_dist_m"), (F.col("event_type") == "error").alias("has_fatal_log"), (k % 2).alias("restart_count"),
+        (value * 0.8).alias("motor_temp_C"), (k == 7).alias("nav_stuck"), k.alias("cpu_temp_C"), (k != 9).alias("slam_localized"),
+        (value / 300).alias("battery_drain_rate"), (-k).alias("wifi_rssi"),
+    ]
+
+
+def frames(spark, sf):
+    return v.telemetry(spark, sf).select("event_id", "user_id", "ts", *frame_columns())
 
 
 RULE_TABLE = """rules AS (SELECT * FROM (VALUES

@@ -3,13 +3,11 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog import views as v
-from millrace.catalog.filters import FRAMES, RULE_TABLE, frames
-from millrace.catalog.registry import query, r4, r6, table
-from millrace.catalog.timeseries import ALERTS, HOUR, rates
+from millrace.catalog.filters import FRAMES, RULE_TABLE, frame_columns, frames
+from millrace.catalog.registry import query, r6, table
+from millrace.catalog.timeseries import ALERTS, rates
 from millrace.catalog.windows import STREAKS, ZSCORE
-from millrace.operators import aggregates as a
 from millrace.operators import filters as f
-from millrace.operators import joins as j
 from millrace.operators import timeseries as t
 from millrace.operators import windows as w
 from millrace.plans.quantiles import exact_quantiles
@@ -32,13 +30,7 @@ def still(spark, sf):
 
 @query("str_1_rule_stream", f"WITH {FRAMES}, {RULE_TABLE} SELECT event_id, rule, CAST(priority AS INT) AS priority, CAST(score AS DOUBLE) AS score FROM hits")
 def _(spark, sf):
-    value, k = F.col("value"), F.col("k")
-    seen = live(spark, sf).select(
-        "event_id", value.alias("battery_pct"), (k / 5.0).alias("motor_current_A"), (value / 20).alias("linear_accel_mps2"),
-        (k / 100.0).alias("obstacle_dist_m"), (F.col("event_type") == "error").alias("has_fatal_log"), (k % 2).alias("restart_count"),
-        (value * 0.8).alias("motor_temp_C"), (k == 7).alias("nav_stuck"), k.alias("cpu_temp_C"), (k != 9).alias("slam_localized"),
-        (value / 300).alias("battery_drain_rate"), (-k).alias("wifi_rssi"),
-    )
+    seen = live(spark, sf).select("event_id", *frame_columns())
     return run_available(f.rule_events(seen).select("event_id", "rule", "priority", "score"))
 
 
@@ -72,13 +64,7 @@ def _(spark, sf):
 
 @query("str_3_cooldown_stream", COOLDOWN)
 def _(spark, sf):
-    value, k = F.col("value"), F.col("k")
-    seen = live(spark, sf).select(
-        "event_id", "user_id", "us", value.alias("battery_pct"), (k / 5.0).alias("motor_current_A"), (value / 20).alias("linear_accel_mps2"),
-        (k / 100.0).alias("obstacle_dist_m"), (F.col("event_type") == "error").alias("has_fatal_log"), (k % 2).alias("restart_count"),
-        (value * 0.8).alias("motor_temp_C"), (k == 7).alias("nav_stuck"), k.alias("cpu_temp_C"), (k != 9).alias("slam_localized"),
-        (value / 300).alias("battery_drain_rate"), (-k).alias("wifi_rssi"),
-    )
+    seen = live(spark, sf).select("event_id", "user_id", "us", *frame_columns())
     hits = f.rule_events(seen).withColumn("wait", cooldown_column())
     step = s.cooldown_step("us", "wait", list(KEEP), part="rule")
     return run_available(s.keyed_stream(hits, ["user_id"], ["us", "event_id"], step, "event_id bigint, rule string"))

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog import views as v
-from millrace.catalog.aggregates import labelled  # noqa: F401
 from millrace.catalog.functions import folded
 from millrace.catalog.registry import query, r4, r6, table, texts
 from millrace.operators import sets as s

@@ -7,8 +7,6 @@ the JVM.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,23 +67,24 @@ def rule_events(frames: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     A rule that names a column the frames do not have never matches; null
     triggers do not match either.
     """
-    spark = frames.sparkSession
-    usable = []
-    for r in rules:
+
+    def holds(rule: Rule) -> Column:
+        condition = F.expr(rule.trigger).cast("boolean")
         try:
-            frames.select(F.expr(r.trigger).cast("boolean"))
-        except Exception:
-            continue
-        usable.append(r)
+            frames.select(condition)
+        except AnalysisException:
+            return F.lit(False)
+        return F.coalesce(condition, F.lit(False))
+
     hits = [
         F.when(
-            F.coalesce(F.expr(r.trigger).cast("boolean"), F.lit(False)),
+            holds(r),
             F.struct(
                 F.lit(r.id).alias("rule"), F.lit(r.promote_to).alias("priority"), F.lit(r.score).alias("score"),
                 F.lit(float(r.pre_sec)).alias("pre_sec"), F.lit(float(r.post_sec)).alias("post_sec"),
             ),
         )
-        for r in usable
+        for r in rules
     ]
     matched = F.filter(F.array(*hits), lambda x: x.isNotNull())
     return frames.select("*", F.explode(matched).alias("_hit")).select(*frames.columns, "_hit.*")

@@ -296,3 +296,8 @@ def test_lossless_layout_for_nulls_in_keys(spark):
     df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), (1, 1, 5.0)], "k int, i int, v double")
     out = w.rolling_zscore(df, ["k"], ["i"], "v", warm_up=2).collect()
     assert len(out) == 3 and {r["k"]: r["z"] for r in out if r["i"] == 2}[None] > 0
+
+
+def test_frames_without_any_rule_column(spark):
+    out = f.rule_events(spark.createDataFrame([(1,)], "speed int"))
+    assert out.columns == ["speed", "rule", "priority", "score", "pre_sec", "post_sec"] and out.count() == 0

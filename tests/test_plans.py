@@ -3,8 +3,6 @@
 import pytest
 
 from __spark_entry__ import queries
-from pyspark.sql import functions as F
-
 from millrace.catalog.registry import table
 from millrace.operators import aggregates as a
 from millrace.operators import windows as w
