@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, quality, simhash, toxicity
+from millrace.llm import html_text, mixing, pii, quality, secret_scans, simhash, toxicity, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,12 @@ def learning_fold():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
 
 
+@query("op1_pii_feistel")
+def op1(spark, sf_dir):
+    # in production the key comes from a secret store
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), key="example key of this query")
+
+
 @query("op2_quality_rules")
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -39,6 +45,17 @@ def op2(spark, sf_dir):
     return quality.judge(docs, model)
 
 
+@query("op3_html_extraction")
+def op3(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op4_secret_scans")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secret_scans.scan(docs, secret_scans.train_on(docs))
+
+
 def toxicity_model(docs, spark, sf_dir):
     return toxicity.train(docs, table(spark, sf_dir, "labels"), usable=learning_fold())
 
@@ -51,6 +68,11 @@ def op5(spark, sf_dir):
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query("op6_winnowing")
+def op6(spark, sf_dir):
+    return winnowing.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def quality_weights(spark, sf_dir):
     """Documents labelled good weigh 2, those labelled bad a half; others get 1 from the operator."""
     labels = table(spark, sf_dir, "labels").where("doc_id is not null and quality is not null")
