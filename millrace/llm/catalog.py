@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, mixing, pii, quality, secret_scans, simhash, toxicity, winnowing
+from millrace.llm import html_text, mixing, packing, pii, quality, secret_scans, simhash, toxicity, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -121,6 +121,22 @@ def op7(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_files() -> dict[str, str]:
+    """The public tokenizer that the packing queries use; the library brings its files."""
+    import public_tokenizers
+
+    return {
+        "vocabulary": str(public_tokenizers.path("byte_bpe_50k.json")),
+        "ranks": str(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+@query("op9_packing")
+def op9(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_files())
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
