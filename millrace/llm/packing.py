@@ -213,7 +213,7 @@ def pack(
     seen = seen.groupBy("term").agg(F.sum("n").alias("n")).toPandas().set_index("term")["n"]
     n, tokens = int(seen.get(-2, 0)), int(seen.get(-1, 0))
     counts = seen[seen.index >= 0]
-    idf = np.zeros(int(counts.index.max(initial=0)) + 1 if len(counts) else 1, np.float32)
+    idf = np.zeros(int(counts.index.max()) + 1 if len(counts) else 1, np.float32)
     idf[counts.index.to_numpy(int)] = np.log(1 + (n - counts.to_numpy() + 0.5) / (counts.to_numpy() + 0.5))
     mean_length = tokens / max(1, n)
     told = spark.sparkContext.broadcast(idf)
