@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, mixing, packing, pii, quality, secret_scans, simhash, toxicity, winnowing
+from millrace.llm import html_text, mixing, packing, pii, quality, repeats, secret_scans, simhash, toxicity, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -141,3 +141,11 @@ def op9(spark, sf_dir):
 def op8(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "copies")
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark, sf_dir):
+    left = repeats.deduplicate(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
