@@ -101,7 +101,7 @@ WITH weighed AS (
   FROM named
 ), targets AS (
   SELECT source, source_size,
-    least(cap, weight * coalesce((SELECT min(level) FROM levels WHERE level * weight <= cap), 'inf'::DOUBLE)) AS target
+    least(cap, weight * coalesce((SELECT max(level) FROM levels WHERE level * weight <= cap), 'inf'::DOUBLE)) AS target
   FROM levels
 ), placed AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,

@@ -50,7 +50,8 @@ def source_targets(
     rest = F.sum("weight").over(up.rowsBetween(0, Window.unboundedFollowing))
     levels = named.withColumn("level", (total * F.lit(float(share)) - before) / rest)
     open_level = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))
-    first = F.min(open_level).over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    # from the first source below its cap on, the quotients fall
+    first = F.max(open_level).over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     target = F.least(F.col("cap"), F.col("weight") * F.coalesce(first, F.lit(float("inf"))))
     return levels.select("source", "source_size", target.alias("target"))
 

@@ -64,7 +64,7 @@ def _base(segments: int, radius: int) -> int:
 def _cell(segments: int, radius: int) -> Column:
     """The bit counts of all parts, packed into one number."""
     width, base = 64 // segments, _base(segments, radius)
-    mask = F.lit((1 << width) - 1).cast("bigint")
+    mask = F.lit((1 << width) - 1 if width < 64 else -1).cast("bigint")
     parts = [F.bit_count(F.shiftrightunsigned("fp", i * width).bitwiseAND(mask)).cast("bigint") for i in range(segments)]
     return reduce(lambda x, y: x + y, [part * F.lit(base**i) for i, part in enumerate(parts)])
 
