@@ -5,10 +5,10 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,47 +17,73 @@ from millrace.session import materialise
 
 WINDOW = 2048
 #: documents of a shard of the index
-SHARD = 2048
+SHARD = 1024
 #: id that ends a document
 END = 1
 K1, B = 1.2, 0.75
 
 
+#: white space other than the space and the line feed
+_RARE = [chr(c) for c in (*range(9, 10), *range(11, 14), *range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)]
+_TAIL = ".,;:!?#$%&*|"
+
+
 class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit numbers.
 
     Byte-level BPE never joins the pieces of its splitting pattern, and a space
-    before a character that is no white space always starts a piece. So a text
-    is cut at such spaces and the ids of a cut word are kept in a table of
-    bounded size. Texts that name the special token or have white space beside
-    a space are encoded whole. Every text's ids are those of ``tokenizers``.
+    between characters that are no white space always starts a piece, as does
+    punctuation after a letter. So a text is cut at spaces and the ids of a
+    word are kept in a table of bounded size. Texts that name the special token
+    or have white space beside a space are encoded whole. The ids of every text
+    are those of ``tokenizers``.
     """
 
-    def __init__(self, vocabulary: str, ranks: str, pattern: str, special: str = "<|endoftext|>", most: int = 400_000):
+    def __init__(self, vocabulary: str, ranks: str, pattern: str, special: str, most: int):
         import tiktoken
         from tokenizers import Tokenizer
 
-        pairs = (line.split() for line in open(ranks, "rb"))
-        table = {base64.b64decode(a): int(b) for a, b in pairs}
-        self.fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.whole = Tokenizer.from_file(vocabulary)
-        self.special, self.odd = special, regex.compile(r" \s|\s |^\s|\s$")
-        self.most, self.known = most, {}
+        with open(ranks, "rb") as lines:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        self.whole, self.special, self.most = Tokenizer.from_file(vocabulary), special, most
+
+        def plain(text: str) -> bytes:
+            return np.array(fast.encode_ordinary(text), "<u4").tobytes()
+
+        class Known(dict):
+            """The ids of words, with the space before them."""
+
+            def __missing__(self, word: str) -> bytes:
+                stem = word.rstrip(_TAIL)
+                if stem != word and stem[-1:].isalpha():
+                    ids = self[stem] + tails[word[len(stem) :]]
+                else:
+                    ids = plain(" " + word)
+                self[word] = ids
+                return ids
+
+        class Tails(dict):
+            def __missing__(self, tail: str) -> bytes:
+                return self.setdefault(tail, plain(tail))
+
+        self.plain, self.known, tails = plain, Known(), Tails()
 
     def __call__(self, text: str) -> bytes:
         if self.special in text:
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if not text or self.odd.search(text):
-            return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
-        words = text.split(" ")
-        pieces = [words[0], *[" " + w for w in words[1:]]]
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        missing = set(pieces).difference(known)
-        for piece in missing:
-            known[piece] = np.array(self.fast.encode_ordinary(piece), "<u4").tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        if "  " in text or " \n" in text or "\n " in text or any(c in text for c in _RARE):
+            return self.plain(text)
+        first, *words = text.split(" ")
+        if len(self.known) > self.most:
+            self.known.clear()
+        return self.plain(first) + b"".join(map(self.known.__getitem__, words))
+
+
+@lru_cache(1)
+def encoder(vocabulary: str, ranks: str, pattern: str, special: str = "<|endoftext|>", most: int = 1_500_000) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(vocabulary, ranks, pattern, special, most)
 
 
 class Index:
@@ -82,12 +108,12 @@ class Index:
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document of the shard for the tokens of ``seed``."""
-        total = np.zeros(self.size, np.float32)
-        for term in self.queries[seed].tolist():
-            a, b = self.starts[term], self.starts[term + 1]
-            # a term has a posting of a document once, so no place repeats
-            total[self.docs[a:b]] += self.weights[a:b]
-        return total
+        terms = self.queries[seed]
+        firsts = self.starts[terms]
+        counts = self.starts[terms + 1] - firsts
+        # the postings of all terms, one after the other
+        places = np.repeat(firsts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        return np.bincount(self.docs[places], self.weights[places], self.size)
 
 
 def _fill(units: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -156,7 +182,7 @@ def tokenise(df: DataFrame, files: dict[str, str], id_col: str, text_col: str, w
     end = np.array([END], "<u4").tobytes()
 
     def work():
-        encode = Encoder(**files)
+        encode = encoder(**files)
 
         def each(text):
             ids = encode(text) + end

@@ -215,9 +215,9 @@ def test_encoder():
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(catalog.tokenizer_files()["vocabulary"])
-    encode = packing.Encoder(**catalog.tokenizer_files(), most=3)
+    encode = packing.encoder(**catalog.tokenizer_files(), most=3)
     rng = random.Random(2)
-    parts = ["a", "it's", " ", "  ", "\n", "\t x", " ", "　y", "42", "é", "\U0001f600", "<|endoftext|>", "!!", "Word"]
+    parts = ["a", "it's", " ", "  ", "\n", "\t x", " ", "　y", "42", "é", "\U0001f600", "<|endoftext|>", "!!", "Word", "no.", "don't,", "end.\n"]
     for _ in range(300):
         text = "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(8)))
         assert np.frombuffer(encode(text), "<u4").tolist() == coder.encode(text, add_special_tokens=False).ids, text
