@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from millrace.llm.common import per_text
 from millrace.llm.ngrams import rolling, sliding_min
-from millrace.session import materialise
 
 #: bytes of a k-gram, and k-grams of a window: texts that share
 #: GRAM + WINDOW - 1 bytes in a row share a fingerprint
@@ -97,9 +96,9 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rounded down, replaced by the first as many (or all) of the next document.
 
     Texts are moved once, into ranges of ids. Each task reads its range in order
-    and needs one text ahead; the first and the last row of a range are set
-    aside with their texts, and meet those of the range beside it afterwards.
-    Null texts count as empty; other columns are not read.
+    and needs one text ahead; the last row of a range meets the first one of
+    the next range apart, one row of each range. Null texts count as empty;
+    other columns are not read.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -107,43 +106,34 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col(id_col).isNull().alias("last"), F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text")
     )
     order = ["last", "doc_id", "tie"]
-    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ranged = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    fields = ", ".join(f"{n} {t}" for n, t in _RESULT.items())
+    ranged = rows.repartitionByRange(parts, *order)
+    inside = ranged.sortWithinPartitions(*order).select("doc_id", "text")
     schema = T.StructType([
-        *ranged.schema.fields[:2], T.StructField("edge", T.StringType()), T.StructField("text", T.StringType()),
-        *T._parse_datatype_string(fields).fields,
+        inside.schema["doc_id"], *T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in _RESULT.items())).fields
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All rows but the last one."""
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        out = to_arrow_schema(schema)
-        held = None
-        none = (None,) * len(_RESULT)
+        out, held = to_arrow_schema(schema), None
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
-                part, ids, texts = (c.to_pylist() for c in whole.slice(at, 256).columns)
                 made = []
-                for row in zip(part, ids, texts):
-                    if held is None:
-                        made.append((row[0], row[1], "first", row[2], *none))
-                    else:
-                        made.append((held[0], held[1], None, None, *_compared(held[2], row[2])))
+                for row in zip(*(c.to_pylist() for c in whole.slice(at, 256).columns)):
+                    if held is not None:
+                        made.append((held[0], *_compared(held[1], row[1])))
                     held = row
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), out)], schema=out)
-        if held is not None:
-            made = (held[0], held[1], "last", held[2], *none)
-            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(made, out)], schema=out)
-
-    found = materialise(ranged.mapInArrow(run, schema), "winnowed")
-    # one number per range: the range that follows each, the first one after the last
-    filled = found.where("edge = 'last'").select("part")
+                if made:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), out)], schema=out)
+
+    # the same exchange of texts serves both
+    whole = F.struct("last", "doc_id", "tie", "text")
+    ends = ranged.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.min(whole).alias("first"), F.max(whole).alias("end"))
     beside = Window.orderBy("part")
-    first = F.min("part").over(beside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    following = filled.select("part", F.coalesce(F.lead("part").over(beside), first).alias("after"))
-    starts = found.where("edge = 'first'").select(F.col("part").alias("after"), F.col("text").alias("following"))
-    ends = found.where("edge = 'last'").select("part", "doc_id", "text").join(following, "part").join(starts, "after")
-    ends = ends.select("doc_id", F.struct("text", "following").alias("value"))
-    met = per_text(ends, _RESULT, lambda: lambda value: _compared(value["text"], value["following"]))
-    return found.where("edge is null").select("doc_id", *_RESULT).union(met)
+    everything = beside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = F.coalesce(F.lead("first.text").over(beside), F.first("first.text").over(everything))
+    met = ends.select(F.col("end.doc_id").alias("doc_id"), F.col("end.text").alias("text"), following.alias("following"))
+    met = met.select("doc_id", F.struct("text", "following").alias("value"))
+    met = per_text(met, _RESULT, lambda: lambda value: _compared(value["text"], value["following"]))
+    return inside.mapInArrow(run, schema).union(met)
