@@ -73,23 +73,25 @@ def train(
 
     table = per_text(chosen, {"slots": "binary"}, work).toArrow().sort_by([("doc_id", "ascending")])
     label = table["label"].combine_chunks().to_numpy(zero_copy_only=False).astype(float)
-    texts_slots = [np.frombuffer(b, "<u4") for b in table["slots"].to_pylist()]
+    # views of the table's own memory; what is built from them holds the used n-grams alone
+    held = [np.frombuffer(b.as_buffer(), "<u4") if b.as_buffer().size else np.zeros(0, "<u4") for b in table["slots"]]
     width = 1 << BITS
     if len(label) == 0 or label.min() == label.max():
         share = float(np.clip(label.mean(), 0.01, 0.99)) if len(label) else 0.5
         return ToxicityModel(np.zeros(width, np.float32), float(np.log(share / (1 - share))))
-    entries = np.concatenate(texts_slots).astype(np.int64)
-    rows = np.repeat(np.arange(len(label)), [len(s) for s in texts_slots])
-    toxic = label[rows] > 0
-    ones, others = np.bincount(entries[toxic], minlength=width), np.bincount(entries[~toxic], minlength=width)
+    ones, others = np.zeros(width, np.int32), np.zeros(width, np.int32)
+    for slots, toxic in zip(held, label):
+        # a text has a slot once
+        (ones if toxic else others)[slots] += 1
     ratio = np.log((ones + smoothing) / (label.sum() + 2 * smoothing)) - np.log(
         (others + smoothing) / (len(label) - label.sum() + 2 * smoothing)
     )
     used = (np.abs(ratio) > least_ratio) & (ones + others >= least_texts)
-    place = np.cumsum(used) - 1
-    here = used[entries]
-    index, scale = place[entries[here]], ratio[used]
-    weights, bias = fit_logistic(index, rows[here], scale[index], label, int(used.sum()), 1e-5, 60)
+    place, scale = (np.cumsum(used) - 1).astype(np.int32), ratio[used]
+    kept = [place[slots[used[slots]]] for slots in held]
+    rows = np.repeat(np.arange(len(kept), dtype=np.int32), [len(k) for k in kept])
+    index = np.concatenate(kept)
+    weights, bias = fit_logistic(index, rows, scale[index], label, int(used.sum()), 1e-5, 60)
     full = np.zeros(width, np.float32)
     full[used] = weights * scale
     return ToxicityModel(full, float(bias))
