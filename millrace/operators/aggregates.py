@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.plans.layout import join_null_safe
 from millrace.plans.ordered import Ordered
 from millrace.plans.quantiles import exact_quantiles
 from millrace.plans.sequential import fold_sorted
@@ -88,8 +89,9 @@ def state_priority_counts(files: DataFrame, states: Sequence[str]) -> DataFrame:
 
 
 def daily_bytes(files: DataFrame, day: Column) -> DataFrame:
+    """Bytes per robot and day, in all and by priority; priorities of 3 and more count as 3."""
     per_priority = [
-        F.sum(F.when(F.col("priority") == p, F.col("size_bytes")).otherwise(0)).alias(f"p{p}_bytes")
+        F.sum(F.when(F.least("priority", F.lit(3)) == p, F.col("size_bytes")).otherwise(0)).alias(f"p{p}_bytes")
         for p in range(4)
     ]
     return files.groupBy("robot_id", day.alias("day")).agg(
@@ -119,7 +121,7 @@ def distribution_summary(df: DataFrame, keys: Sequence[str], value: str) -> Data
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    return stats.join(exact_quantiles(df, keys, value, PERCENTILES), list(keys))
+    return join_null_safe(stats, exact_quantiles(df, keys, value, PERCENTILES), keys, "left")
 
 
 def weighted_meter(df: DataFrame, keys: Sequence[str], value: str, weight: str, step: Sequence[str]) -> DataFrame:
@@ -156,7 +158,7 @@ def throughput_summary(requests: DataFrame, keys: Sequence[str]) -> DataFrame:
     tails = exact_quantiles(
         requests.where("success"), keys, "latency", {"p50": 0.5, "p95": 0.95, "p99": 0.99}
     )
-    return base.join(tails, list(keys), "left")
+    return join_null_safe(base, tails, keys, "left")
 
 
 def request_stats(requests: DataFrame, keys: Sequence[str], empty_rate: float = 0.0) -> DataFrame:
@@ -244,11 +246,12 @@ def roc_auc(df: DataFrame, score: str, truth: str, hot_rows: int | None = None)
     """Share of (positive, negative) pairs in the right order, ties counted half."""
     counts = materialise(score_counts(df, score, truth), "scores")
     ranked = Ordered(counts, [], ["score"], hot_rows).running(below=("sum", F.col("neg")))
-    pairs = F.sum(F.col("pos") * (2 * F.col("below") - F.col("neg")))
+    # doubles: products of counts leave the range of bigint
+    pairs = F.sum(F.col("pos").cast("double") * (2 * F.col("below") - F.col("neg")))
     return ranked.agg(
         F.sum("pos").alias("positives"),
         F.sum("neg").alias("negatives"),
-        F.try_divide(pairs.cast("double"), (2 * F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"),
+        F.try_divide(pairs, F.sum("pos").cast("double") * F.sum("neg") * 2).alias("auc"),
     )
 
 

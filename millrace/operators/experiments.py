@@ -46,18 +46,19 @@ def rank_sum_test(
     side = lambda v: F.count_if(F.col(variant) == v)
     counts = materialise(rows.groupBy(F.col(value).alias("v")).agg(side(first).alias("a"), side(second).alias("b")), "counts")
     run = Ordered(counts, [], ["v"], hot_rows).running(below=("sum", F.col("b")))
-    t = F.col("a") + F.col("b")
+    # doubles: cubes and products of counts leave the range of bigint
+    t = (F.col("a") + F.col("b")).cast("double")
     sums = run.agg(
         F.sum("a").alias("n1"), F.sum("b").alias("n2"),
-        (F.sum(F.col("a") * (2 * F.col("below") - F.col("b"))) / 2).alias("u"),
-        F.sum((t * t * t - t).cast("double")).alias("ties"),
+        (F.sum(F.col("a").cast("double") * (2 * F.col("below") - F.col("b"))) / 2).alias("u"),
+        F.sum(t * t * t - t).alias("ties"),
         (F.sum(F.col("a") * F.col("v")) / F.sum("a")).alias("mean1"), (F.sum(F.col("b") * F.col("v")) / F.sum("b")).alias("mean2"),
     )
     n = (F.col("n1") + F.col("n2")).cast("double")
     product = F.col("n1").cast("double") * F.col("n2")
     sd = F.sqrt(product / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     away = F.abs(F.col("u") - product / 2) - 0.5
-    out = sums.withColumn("z", F.greatest(away, F.lit(0.0)) / sd).withColumn("p_value", normal_two_sided("z"))
+    out = sums.withColumn("z", F.coalesce(F.try_divide(F.greatest(away, F.lit(0.0)), sd), F.lit(0.0))).withColumn("p_value", normal_two_sided("z"))
     out = _winner(out, confidence, first, second, F.col("mean1") < F.col("mean2"))
     return out.select("n1", "n2", "u", "z", "p_value", "has_winner", "winner")
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.plans.layout import join_null_safe
 from millrace.plans.ordered import Ordered
 from millrace.plans.quantiles import exact_quantiles
 
@@ -91,7 +92,7 @@ def stratified_split(
     n_test = F.ceil(F.col("_n") * F.lit(test))
     n_val = F.ceil((F.col("_n") - n_test) * F.lit(validation / (1 - test)))
     split = F.when(F.col("_rank") <= n_test, "test").when(F.col("_rank") <= n_test + n_val, "val").otherwise("train")
-    return ranked.join(sizes, label).select(key, label, split.alias("split"))
+    return join_null_safe(ranked, sizes, [label], "inner").select(key, label, split.alias("split"))
 
 
 def shard(df: DataFrame, key: str, world: int, drop_last: bool = False, hot_rows: int | None = None) -> DataFrame:

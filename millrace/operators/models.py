@@ -14,10 +14,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import roc_auc, safe_ratio
+from millrace.plans.quantiles import exact_quantiles
+from millrace.session import materialise
 
 SEED = 42
 
@@ -136,39 +138,60 @@ def _grow(points: np.ndarray, rng: np.random.Generator, limit: int) -> list[tupl
 
 @dataclass
 class IsolationForest:
-    """Trees grown by Spark tasks on a fixed number of first rows; scoring is vectorised.
+    """Trees grown by Spark tasks, each on a sample of its own of all rows; scoring is vectorised.
 
-    The model has at most ``trees * (2 * samples)`` nodes, so it travels with
-    the tasks. Scores below ``offset`` are the ``contamination`` share of the
-    training rows.
+    A tree's sample is the ``samples`` rows with the smallest hash of seed, tree
+    and key. The model has at most ``trees * (2 * samples)`` nodes, so it travels
+    with the tasks. Scores below ``offset`` are the ``contamination`` share of
+    all rows.
     """
 
     trees: int = 50
     samples: int = 256
-    training_rows: int = 512
     contamination: float = 0.01
     seed: int = SEED
 
     def fit(self, df: DataFrame, features: Sequence[str], order: Sequence[str]) -> "IsolationForest":
         self.features = list(features)
-        first = df.orderBy(*order).limit(self.training_rows).select(F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
-        base = np.array([r["x"] for r in first.collect()])
-        size, seed = min(self.samples, len(base)), self.seed
-        limit = math.ceil(math.log2(max(size, 2)))
-
-        def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        point = F.array(*[F.col(f).cast("double") for f in features])
+        rows = df.select(point.alias("x"), F.xxhash64(F.lit(self.seed), *order).alias("h"))
+        trees, samples = self.trees, self.samples
+        mixed = np.random.default_rng(self.seed).integers(0, 1 << 62, trees, np.uint64) * np.uint64(2) + np.uint64(1)
+
+        def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """The rows of a task that can be in a sample."""
+            best: list[tuple[np.ndarray, list]] = [(np.zeros(0, np.uint64), [])] * trees
             for b in batches:
-                for tree in b["id"]:
-                    rng = np.random.default_rng([seed, int(tree)])
-                    nodes = _grow(base[rng.choice(len(base), size, replace=False)], rng, limit)
-                    out = pd.DataFrame(nodes, columns=["feature", "cut", "lo", "hi", "depth"])
-                    yield out.assign(tree=tree, node=range(len(nodes)))
-
-        schema = "feature int, cut double, lo int, hi int, depth double, tree bigint, node int"
-        table = df.sparkSession.range(self.trees).mapInPandas(grow, schema).toPandas().sort_values(["tree", "node"])
+                h, x = b["h"].to_numpy().view(np.uint64), b["x"].tolist()
+                for t in range(trees):
+                    turned = (h ^ (h >> np.uint64(31))) * mixed[t]
+                    turned ^= turned >> np.uint64(29)
+                    ranks, held = np.concatenate([best[t][0], turned]), len(best[t][1])
+                    keep = np.argsort(ranks, kind="stable")[:samples]
+                    best[t] = ranks[keep], [best[t][1][i] if i < held else x[i - held] for i in keep.tolist()]
+            for t, (ranks, x) in enumerate(best):
+                if len(x):
+                    yield pd.DataFrame({"tree": t, "rank": (ranks >> np.uint64(1)).astype(np.int64), "x": x})
+
+        rank = Window.partitionBy("tree").orderBy("rank", "x")
+        chosen = rows.mapInPandas(least, "tree int, rank bigint, x array<double>")
+        chosen = chosen.withColumn("n", F.row_number().over(rank)).where(F.col("n") <= samples)
+        seed = self.seed
+
+        def grow(b: pd.DataFrame) -> pd.DataFrame:
+            tree = int(b["tree"].iloc[0])
+            points = np.array(b.sort_values("n")["x"].tolist())
+            nodes = _grow(points, np.random.default_rng([seed, tree]), math.ceil(math.log2(max(len(points), 2))))
+            out = pd.DataFrame(nodes, columns=["feature", "cut", "lo", "hi", "depth"])
+            return out.assign(tree=tree, node=range(len(nodes)), size=len(points))
+
+        schema = "feature int, cut double, lo int, hi int, depth double, tree int, node int, size int"
+        table = chosen.groupBy("tree").applyInPandas(grow, schema).toPandas().sort_values(["tree", "node"])
         self.forest = [g[["feature", "cut", "lo", "hi", "depth"]].to_numpy() for _, g in table.groupby("tree")]
-        self.norm = _path_norm(size)
-        self.offset = float(np.quantile(self._raw(base), self.contamination))
+        self.norm = _path_norm(int(table["size"].max()))
+        self.offset = 0.0
+        raw = materialise(self.score(df, list(order)).select("decision"), "raw_scores")
+        self.offset = float(exact_quantiles(raw, [], "decision", {"q": self.contamination}).first()["q"])
         return self
 
     def _raw(self, x: np.ndarray) -> np.ndarray:

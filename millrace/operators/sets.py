@@ -65,7 +65,9 @@ def fuzzy_dedup(df: DataFrame, key: str, vector: str, threshold: float = 0.95, b
     are only ever compared with kept rows; the rounds end when nothing is left.
     Returns (key, kept).
     """
-    same = df.groupBy(vector).agg(F.min(key).alias(key))
+    # equal vectors are one row, but for zero vectors, whose cosine with any other is 0
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x)
+    same = df.groupBy(vector, F.when(squares == 0, F.col(key)).alias("_zero")).agg(F.min(key).alias(key))
     left = materialise(same.select(key, vector), "undecided")
     kept_path = new_path(df.sparkSession, "kept")
     df.sparkSession.createDataFrame([], df.select(key).schema).write.parquet(kept_path)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -14,3 +18,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """Join on columns whose nulls are a value like any other; they are returned once."""
+    if not names:
+        return left.crossJoin(right)
+    renamed = right.withColumnsRenamed({n: f"_r{n}" for n in names})
+    on = reduce(lambda a, b: a & b, [left[n].eqNullSafe(renamed[f"_r{n}"]) for n in names])
+    return left.join(renamed, on, how).drop(*[f"_r{n}" for n in names])

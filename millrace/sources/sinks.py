@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ def save_raw(df: DataFrame, path: str, saved_at: str) -> DataFrame:
     """CSV plus a one-row JSON sidecar."""
     spark = df.sparkSession
     df.write.option("header", True).csv(f"{path}/data")
-    rows = df.count()
+    # what was written is counted; the input may differ when it is computed again
+    rows = spark.read.options(header=True, multiLine=True).csv(f"{path}/data").count()
     size = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{path}/data").agg(F.sum("length")).first()[0]
     meta = spark.createDataFrame(
         [(path.rsplit("/", 1)[-1], rows, len(df.columns), df.columns, saved_at, size)], SIDECAR
@@ -30,7 +32,9 @@ def read_sidecar(spark: SparkSession, path: str) -> DataFrame:
     """Sidecar of a saved file, empty when there is none."""
     try:
         return spark.read.schema(SIDECAR).json(f"{path}/metadata")
-    except Exception:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], SIDECAR)
 
 
@@ -64,9 +68,11 @@ def add_counters(target: DataFrame, delta: DataFrame, keys: Sequence[str], count
 
 
 def update_vectors(target: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    u = updates.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
+    """New values of ``columns`` on the keys of ``updates``, nulls included; other rows stay."""
+    u = updates.select(key, F.lit(True).alias("_met"), *[F.col(c).alias(f"_{c}") for c in columns])
     joined = target.join(u, key, "left")
-    return joined.select(*[F.coalesce(f"_{c}", c).alias(c) if c in columns else c for c in target.columns])
+    new = lambda c: F.when(F.col("_met"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
+    return joined.select(*[new(c) if c in columns else c for c in target.columns])
 
 
 def vector_text(vector: Column) -> Column:

@@ -25,7 +25,7 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger:
 
 def run_available(
     stream: DataFrame, mode: str = "append", checkpoint: str | None = None, target: str | None = None,
-    transform: Callable[[DataFrame], DataFrame] | None = None, timeout: int = 600,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Process all available input and return the written table.
 
@@ -44,11 +44,8 @@ def run_available(
         stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).foreachBatch(write).start()
     )
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError("the stream did not finish in time")
-    if query.exception():
-        raise query.exception()
+    # ends by itself when all input is processed, and raises what ended it otherwise
+    query.awaitTermination()
     table = spark.read.option("basePath", target).parquet(target)
     if mode == "complete":
         table = table.where(F.col("batch") == table.agg(F.max("batch")).scalar())
