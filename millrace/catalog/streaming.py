@@ -14,7 +14,7 @@ from millrace.plans.quantiles import exact_quantiles
 from millrace.plans.sequential import fold_sorted
 from millrace.session import new_path
 from millrace.streaming import stateful as s
-from millrace.streaming.jobs import run_available, stream_table
+from millrace.streaming.jobs import run_available, stream_table, with_end
 
 
 def live(spark, sf):
@@ -37,8 +37,9 @@ def _(spark, sf):
 @query("str_2_zscore_stream", f"WITH {ZSCORE} SELECT event_id, round(z, 6) AS z, z > 3 AS is_anomaly FROM z")
 def _(spark, sf):
     step = s.zscore_step("value", ["event_id"])
-    out = s.keyed_stream(live(spark, sf), ["user_id"], ["us", "event_id"], step, "event_id bigint, z double, is_anomaly boolean")
-    return run_available(out).withColumn("z", r6("z"))
+    rows = live(spark, sf).select("user_id", "event_id", "us", "value")
+    out = s.run_keyed(rows, ["user_id"], ["us", "event_id"], step, "event_id bigint, z double, is_anomaly boolean")
+    return out.withColumn("z", r6("z"))
 
 
 COOLDOWN = f"""
@@ -65,9 +66,9 @@ def _(spark, sf):
 @query("str_3_cooldown_stream", COOLDOWN)
 def _(spark, sf):
     seen = live(spark, sf).select("event_id", "user_id", "us", *frame_columns())
-    hits = f.rule_events(seen).withColumn("wait", cooldown_column())
+    hits = f.rule_events(seen).select("user_id", "event_id", "us", "rule", cooldown_column().alias("wait"))
     step = s.cooldown_step("us", "wait", list(KEEP), part="rule")
-    return run_available(s.keyed_stream(hits, ["user_id"], ["us", "event_id"], step, "event_id bigint, rule string"))
+    return s.run_keyed(hits, ["user_id"], ["us", "event_id"], step, "event_id bigint, rule string")
 
 
 MAX_BYTES, MAX_AGE = 300_000, 86_400_000_000
@@ -100,7 +101,7 @@ def _(spark, sf):
 def _(spark, sf):
     step = s.rotation_step("us", "size", "bad", list(FRAME), MAX_BYTES, MAX_AGE)
     schema = "user_id bigint, event_id bigint, " + s.ROTATION
-    return run_available(s.keyed_stream(sized(live(spark, sf)), ["user_id"], ["us", "event_id"], step, schema))
+    return s.run_keyed(sized(live(spark, sf)), ["user_id"], ["us", "event_id"], step, schema)
 
 
 @query("str_5_hourly_rollup", f"""WITH {v.TELEMETRY}, {v.USAGE}
@@ -108,10 +109,11 @@ SELECT epoch_us(date_trunc('hour', ts)) AS hour, round(sum(gpu_cost + vector_cos
 def _(spark, sf):
     tokens = F.floor(F.col("value") * 10)
     cost = F.col("value") / 3600 * v.GPU_HOUR + (F.col("k") % 5) * v.VECTOR_QUERY + F.col("k") / 1000 * v.NETWORK_GB + tokens / 1000 * v.THOUSAND_TOKENS
-    sums = live(spark, sf).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour")).agg(
+    end = new_path(spark, "end")
+    sums = with_end(live(spark, sf), "ts", end).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour")).agg(
         F.sum(cost).alias("cost"), F.count(F.lit(1)).alias("requests"), F.sum(tokens).alias("tokens")
     )
-    out = run_available(sums, "complete")
+    out = run_available(sums, end=end)
     return out.select(F.unix_micros("window.start").alias("hour"), r6("cost").alias("cost"), "requests", "tokens")
 
 
@@ -151,8 +153,8 @@ SELECT o.event_id, b.flushed AS flushed_at, b.why AS reason FROM o JOIN b ON b.e
 def _(spark, sf):
     # the last queue of an endpoint stays open until a later request settles it
     step = s.batching_step("us", ["event_id", "us"], MAX_BATCH, TIMEOUT)
-    out = s.keyed_stream(arrivals(live(spark, sf)), ["endpoint"], ["us", "event_id"], step, "event_id bigint, us bigint, " + s.BATCHING)
-    return run_available(out).select("event_id", "flushed_at", "reason")
+    out = s.run_keyed(arrivals(live(spark, sf)), ["endpoint"], ["us", "event_id"], step, "event_id bigint, us bigint, " + s.BATCHING)
+    return out.select("event_id", "flushed_at", "reason")
 
 
 @query("agg_34_batch_statistics", f"""{BATCHES}, w AS (SELECT b.endpoint, b.lo, any_value(b.n) AS n, any_value(b.why) AS why, sum((flushed - us) / 1e6) AS wait, max((flushed - us) / 1e6) AS longest
@@ -169,8 +171,9 @@ def _(spark, sf):
 WITH c AS (SELECT event_type, unnest(range(0, 6)) AS i, ts FROM events)
 SELECT event_type, epoch_us(date_trunc('hour', ts)) - 3600000000 * i AS start, count(*) AS n, round(count(*) / 21600, 6) AS rate FROM c GROUP BY 1, 2""")
 def _(spark, sf):
-    rows = live(spark, sf).withWatermark("ts", "6 hours").groupBy("event_type", F.window("ts", "6 hours", "1 hour")).agg(F.count(F.lit(1)).alias("n"))
-    out = run_available(rows, "complete")
+    end = new_path(spark, "end")
+    rows = with_end(live(spark, sf), "ts", end).withWatermark("ts", "6 hours").groupBy("event_type", F.window("ts", "6 hours", "1 hour")).agg(F.count(F.lit(1)).alias("n"))
+    out = run_available(rows, end=end)
     return out.select("event_type", F.unix_micros("window.start").alias("start"), "n", r6(F.col("n") / 21600).alias("rate"))
 
 
@@ -196,7 +199,8 @@ def _(spark, sf):
 @query("str_8_rate_limit_stream", LIMITED)
 def _(spark, sf):
     step = s.rate_limit_step("us", "free", ["event_id"], LIMIT, SPAN)
-    return run_available(s.keyed_stream(clients(live(spark, sf)), ["user_id"], ["us", "event_id"], step, "event_id bigint, accepted boolean"))
+    # a window after its last request a client's memory is empty
+    return s.run_keyed(clients(live(spark, sf)), ["user_id"], ["us", "event_id"], step, "event_id bigint, accepted boolean", idle=SPAN)
 
 
 HEALTH = f"""WITH {STREAKS}, h AS (SELECT event_id, streak, CASE WHEN ok AND value < 50 THEN 'healthy' WHEN ok THEN 'degraded' WHEN streak >= 3 THEN 'unhealthy' ELSE 'degraded' END AS health,
@@ -221,7 +225,8 @@ def _(spark, sf):
 @query("str_9_health_stream", f"{HEALTH} SELECT event_id, CAST(streak AS BIGINT) AS streak, health FROM h")
 def _(spark, sf):
     step = s.health_step("ok", "value", ["event_id"], 3, 50.0)
-    return run_available(s.keyed_stream(checks(live(spark, sf)), ["user_id"], ["us", "event_id"], step, "event_id bigint, streak bigint, health string"))
+    rows = checks(live(spark, sf)).select("user_id", "event_id", "us", "ok", "value")
+    return s.run_keyed(rows, ["user_id"], ["us", "event_id"], step, "event_id bigint, streak bigint, health string")
 
 
 def rollout(df):
@@ -245,7 +250,7 @@ def _(spark, sf):
 
 @query("str_10_rollout_stream")
 def _(spark, sf):
-    return run_available(s.keyed_stream(rollout(live(spark, sf)), ["deployment"], ["us", "event_id"], rollout_step(), ROLLOUT_SCHEMA))
+    return s.run_keyed(rollout(live(spark, sf)), ["deployment"], ["us", "event_id"], rollout_step(), ROLLOUT_SCHEMA)
 
 
 @query("str_11_drain", "SELECT event_id, user_id, value, true AS flushed FROM events")
@@ -273,7 +278,8 @@ def _(spark, sf):
     points.select("bucket", "step", F.coalesce(F.col("ratio") > 0.05, F.lit(False)).alias("on")).write.parquet(path)
     stream = spark.readStream.schema("bucket bigint, step bigint, on boolean").parquet(path)
     step = s.alert_step("on", "step", ["bucket", "step"], 7200)
-    return run_available(s.keyed_stream(stream, ["bucket"], ["step"], step, "bucket bigint, step bigint, active_since bigint, state string"))
+    schema = "bucket bigint, step bigint, active_since bigint, state string"
+    return s.run_keyed(stream, ["bucket"], ["step"], step, schema, time=F.timestamp_seconds("step"))
 
 
 LINES = """raw AS (SELECT user_id, event_id, CASE WHEN event_type IN ('view', 'click') AND row_number() OVER (PARTITION BY user_id ORDER BY event_id) > 1 THEN '    at ' || event_type || ' ' || event_id
@@ -303,15 +309,18 @@ def _(spark, sf):
     path = new_path(spark, "lines")
     raw_lines(spark, sf).write.parquet(path)
     stream = spark.readStream.schema("user_id bigint, event_id bigint, line string").parquet(path)
-    out = s.keyed_stream(stream, ["user_id"], ["event_id"], s.stitch_step("line", ["user_id"]), "user_id bigint, message string")
-    return run_available(out).select("user_id", F.md5("message").alias("digest"))
+    # lines are numbered from 0, not timed: the number takes the place of microseconds
+    out = s.run_keyed(
+        stream, ["user_id"], ["event_id"], s.stitch_step("line", ["user_id"]), "user_id bigint, message string",
+        time=F.timestamp_micros(F.col("event_id") + 1),
+    )
+    return out.select("user_id", F.md5("message").alias("digest"))
 
 
 @query("str_15_dedup", "SELECT event_id, user_id FROM events")
 def _(spark, sf):
-    rows = live(spark, sf).select("event_id", "user_id", "ts")
-    replayed = rows.unionByName(rows).withWatermark("ts", "1 hour")
-    return run_available(replayed.dropDuplicatesWithinWatermark(["event_id"])).select("event_id", "user_id")
+    rows = live(spark, sf).select("event_id", "user_id")
+    return run_available(rows.unionByName(rows), once=["event_id"])
 
 
 @query("str_16_upload_life", f"""WITH {v.TELEMETRY},

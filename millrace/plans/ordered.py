@@ -170,25 +170,30 @@ class Ordered:
             F.row_number().over(per_key).alias("_nth"),
             F.lead("_slice").over(per_key).alias("_next"),
         )
-        targets = through.where("_nth > 1").select(
-            F.col("_slice").alias("_to"),
-            *[F.col(k).alias(f"_k{k}") for k in self.keys],
-            (F.col("_through") - F.col("_n")).alias("_before"),
+        # a slice feeds those that begin fewer than `size` rows of the key behind its end;
+        # positions meet in stretches of `size` rows, so a long key costs its slices once
+        stretch = lambda position: F.floor(position / F.lit(max(size, 1)))
+        feeding = through.where("_next is not null").select(
+            "_slice", *self.keys, "_through", F.explode(F.array(stretch(F.col("_through")), stretch(F.col("_through")) + 1)).alias("_at")
         )
-        spanning = through.where("_next is not null").select("_slice", *self.keys, "_through")
+        before = F.col("_through") - F.col("_n")
+        targets = through.where("_nth > 1").select(
+            F.col("_slice").alias("_to"), *[F.col(k).alias(f"_k{k}") for k in self.keys],
+            before.alias("_before"), stretch(before).alias("_in"),
+        )
+        match = [
+            F.col("_at") == F.col("_in"),
+            F.col("_slice") < F.col("_to"),
+            F.col("_before") - F.col("_through") < size,
+            *[F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in self.keys],
+        ]
+        links = feeding.join(targets, match).select("_slice", *self.keys, "_to")
+        spanning = through.where("_next is not null").select("_slice", *self.keys)
         ends = join_bounded(self.df, spanning, ["_slice", *self.keys], "inner")
         newest = F.row_number().over(self._window(descending=True))
         tails = ends.withColumn("_back", newest).where(F.col("_back") <= size)
-        # a tail row is needed only where fewer than `size` rows lie in between
-        match = reduce(
-            lambda a, b: a & b,
-            [
-                F.col("_slice") < F.col("_to"),
-                F.col("_before") - F.col("_through") < size,
-                *[F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in self.keys],
-            ],
-        )
-        halo = tails.join(F.broadcast(targets), match).withColumn("_slice", F.col("_to"))
+        # one row per pair of slices no further apart than the frame
+        halo = join_bounded(tails, links, ["_slice", *self.keys], "inner").withColumn("_slice", F.col("_to"))
         halo = halo.select(*self.df.columns, F.lit(True).alias("_halo"))
         return self.df.withColumn("_halo", F.lit(False)).unionByName(halo)
 

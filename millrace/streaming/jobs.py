@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.session import new_path
 
+#: a time behind that of any row
+END = "TIMESTAMP '2261-01-01 00:00:00'"
+
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
     """The parquet table ``folder/name.parquet`` (a file or a folder of files) as a stream."""
@@ -23,14 +27,29 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger:
     return reader.parquet(path)
 
 
+def with_end(stream: DataFrame, time: str, end: str) -> DataFrame:
+    """``stream`` and the rows of the folder ``end``, marked by ``_end``: none until ``run_available`` ends the input.
+
+    The one row that it writes there stands behind all others in the column
+    ``time``, so the watermark passes whatever rows, windows and keys wait for it.
+    """
+    spark = stream.sparkSession
+    spark.createDataFrame([], f"{time} timestamp").write.mode("append").parquet(end)
+    last = spark.readStream.schema(f"{time} timestamp").parquet(end).withColumn("_end", F.lit(True))
+    return stream.withColumn("_end", F.lit(False)).unionByName(last, allowMissingColumns=True)
+
+
 def run_available(
-    stream: DataFrame, mode: str = "append", checkpoint: str | None = None, target: str | None = None,
-    transform: Callable[[DataFrame], DataFrame] | None = None,
+    stream: DataFrame, checkpoint: str | None = None, target: str | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None, end: str | None = None, once: Sequence[str] = (),
 ) -> DataFrame:
     """Process all available input and return the written table.
 
     Each batch replaces its own folder, so a repeated batch leaves no second
-    copy. In complete mode the last batch is the result.
+    copy. ``end`` is the folder of ``with_end``: when all input is processed,
+    the input is declared over, and what waits for the watermark comes out. A
+    run that goes on later leaves it away. Of the rows that agree in the
+    columns ``once``, those of the first batch that has them are written, one of them.
     """
     spark = stream.sparkSession
     target = target or new_path(spark, "stream")
@@ -38,15 +57,27 @@ def run_available(
 
     def write(df: DataFrame, batch: int) -> None:
         out = transform(df) if transform else df
+        if once:
+            out = out.dropDuplicates(list(once))
+            if batch > 0:
+                # the batches before this one, whose folders no longer change
+                written = spark.read.schema(StructType([*out.schema.fields, StructField("batch", LongType())])).parquet(target)
+                known = written.where(F.col("batch") < batch).select(*[F.col(c).alias(f"_{c}") for c in once])
+                match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in once]
+                out = out.join(known, match, "left_anti")
         out.write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
-    query = (
-        stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).foreachBatch(write).start()
-    )
-    # ends by itself when all input is processed, and raises what ended it otherwise
-    query.awaitTermination()
-    table = spark.read.option("basePath", target).parquet(target)
-    if mode == "complete":
-        table = table.where(F.col("batch") == table.agg(F.max("batch")).scalar())
-    return table.drop("batch")
+    def run() -> None:
+        query = (
+            stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).foreachBatch(write).start()
+        )
+        # ends by itself when all input is processed, and raises what ended it otherwise
+        query.awaitTermination()
+
+    run()
+    if end:
+        column = spark.read.parquet(end).columns[0]
+        spark.sql(f"SELECT {END} AS {column}").write.mode("append").parquet(end)
+        run()
+    return spark.read.option("basePath", target).parquet(target).drop("batch")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.streaming import stateful as s
-from millrace.streaming.jobs import run_available
+from millrace.streaming.jobs import run_available, with_end
 
 ORDER = ["us", "id"]
 SCHEMA = "k int, id bigint, us bigint, size bigint, bad boolean, ok boolean, ms double"
@@ -45,8 +45,8 @@ KEPT = "k int, id bigint, "
 
 def test_cooldown(rows, stream):
     batch = s.cooldown_batch(rows.withColumn("wait", F.lit(25)), ["k"], ORDER, "us", "wait", KEEP, hot_rows=50)
-    live = s.keyed_stream(stream().withColumn("wait", F.lit(25)), ["k"], ORDER, s.cooldown_step("us", "wait", list(KEEP)), "k int, id bigint")
-    same(batch, run_available(live))
+    live = s.run_keyed(stream().withColumn("wait", F.lit(25)), ["k"], ORDER, s.cooldown_step("us", "wait", list(KEEP)), "k int, id bigint")
+    same(batch, live)
     fired, last = [], {}
     for r in rows.orderBy("us", "id").collect():
         if r["k"] not in last or r["us"] - last[r["k"]] >= 25:
@@ -57,15 +57,15 @@ def test_cooldown(rows, stream):
 
 def test_rotation(rows, stream):
     batch = s.rotation_batch(rows, ["k"], ORDER, "us", "size", "bad", KEEP, 300, 90, hot_rows=50)
-    live = s.keyed_stream(stream(), ["k"], ORDER, s.rotation_step("us", "size", "bad", list(KEEP), 300, 90), KEPT + s.ROTATION)
-    same(batch, run_available(live))
+    live = s.run_keyed(stream(), ["k"], ORDER, s.rotation_step("us", "size", "bad", list(KEEP), 300, 90), KEPT + s.ROTATION)
+    same(batch, live)
     assert {r["reason"] for r in batch.collect()} == {"anomaly", "size", "time"}
 
 
 def test_rate_limit(rows, stream):
     batch = s.rate_limit_batch(rows, ["k"], ORDER, "us", "bad", KEEP, 3, 60, hot_rows=50)
-    live = s.keyed_stream(stream(), ["k"], ORDER, s.rate_limit_step("us", "bad", list(KEEP), 3, 60), KEPT + "accepted boolean")
-    same(batch, run_available(live))
+    live = s.run_keyed(stream(), ["k"], ORDER, s.rate_limit_step("us", "bad", list(KEEP), 3, 60), KEPT + "accepted boolean")
+    same(batch, live)
 
 
 def test_batching_covers_every_request(rows):
@@ -80,7 +80,7 @@ def test_batching_in_pieces(rows, stream):
     """A queue that spans two files is the same queue."""
     keep = {**KEEP, "us": "bigint"}
     step = s.batching_step("us", list(keep), 4, 20)
-    live = run_available(s.keyed_stream(stream(), ["k"], ORDER, step, KEPT + "us bigint, " + s.BATCHING)).select("id", "flushed_at", "reason")
+    live = s.run_keyed(stream(), ["k"], ORDER, step, KEPT + "us bigint, " + s.BATCHING).select("id", "flushed_at", "reason")
     got = {r["id"]: (r["flushed_at"], r["reason"]) for r in live.collect()}
     batch = s.batching_batch(rows, ["k"], ORDER, "us", keep, 4, 20, hot_rows=50)
     want = {r["id"]: (r["flushed_at"], r["reason"]) for r in batch.collect()}
@@ -127,16 +127,16 @@ def test_zscore_state(rows, stream):
     from millrace.operators.windows import rolling_zscore
 
     batch = rolling_zscore(rows, ["k"], ORDER, "ms", size=40, limit=1.5, hot_rows=50).select("id", F.round("z", 8).alias("z"), "is_anomaly")
-    live = s.keyed_stream(stream(), ["k"], ORDER, s.zscore_step("ms", ["id"], 40, limit=1.5), "id bigint, z double, is_anomaly boolean")
-    same(batch, run_available(live).withColumn("z", F.round("z", 8)))
+    live = s.run_keyed(stream(), ["k"], ORDER, s.zscore_step("ms", ["id"], 40, limit=1.5), "id bigint, z double, is_anomaly boolean")
+    same(batch, live.withColumn("z", F.round("z", 8)))
 
 
 def test_health(rows, stream):
     from millrace.operators.windows import failure_streaks
 
     batch = s.health_states(failure_streaks(rows, "k", ORDER, "ok", hot_rows=50), "ok", "ms", fast=50.0).select("id", "streak", "health")
-    live = s.keyed_stream(stream(), ["k"], ORDER, s.health_step("ok", "ms", ["id"], fast=50.0), "id bigint, streak bigint, health string")
-    same(batch, run_available(live))
+    live = s.run_keyed(stream(), ["k"], ORDER, s.health_step("ok", "ms", ["id"], fast=50.0), "id bigint, streak bigint, health string")
+    same(batch, live)
 
 
 def test_rollout_resets_on_promotion(rows, stream):
@@ -144,7 +144,7 @@ def test_rollout_resets_on_promotion(rows, stream):
     from millrace.plans.sequential import fold_sorted
 
     batch = fold_sorted(rows, ["k"], ORDER, step(), "id bigint, " + s.ROLLOUT)
-    same(batch, run_available(s.keyed_stream(stream(), ["k"], ORDER, step(), "id bigint, " + s.ROLLOUT)))
+    same(batch, s.run_keyed(stream(), ["k"], ORDER, step(), "id bigint, " + s.ROLLOUT))
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
@@ -166,3 +166,61 @@ def test_repeated_run_adds_nothing(spark, rows, tmp_path):
         spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in")), checkpoint=str(tmp_path / "cp"), target=str(tmp_path / "out")
     )
     assert run().count() == 400 and run().count() == 400
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark, rows, tmp_path_factory):
+    """Files whose rows come from anywhere in the event times, one per trigger."""
+    import time
+
+    folder = tmp_path_factory.mktemp("shuffled")
+    for part in range(4):
+        rows.where(F.pmod(F.xxhash64("id"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(str(folder))
+        time.sleep(0.05)
+    return lambda: spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def test_cut_of_batches_does_not_matter(rows, shuffled):
+    from millrace.operators.windows import failure_streaks, rolling_zscore
+    from millrace.plans.sequential import fold_sorted
+
+    run = lambda step, schema, idle=None: s.run_keyed(shuffled().withColumn("wait", F.lit(25)), ["k"], ORDER, step, schema, "1 minute", idle=idle)
+    waits = rows.withColumn("wait", F.lit(25))
+    same(s.cooldown_batch(waits, ["k"], ORDER, "us", "wait", KEEP), run(s.cooldown_step("us", "wait", list(KEEP)), "k int, id bigint", 25))
+    same(s.rotation_batch(rows, ["k"], ORDER, "us", "size", "bad", KEEP, 300, 90), run(s.rotation_step("us", "size", "bad", list(KEEP), 300, 90), KEPT + s.ROTATION))
+    same(s.rate_limit_batch(rows, ["k"], ORDER, "us", "bad", KEEP, 3, 60), run(s.rate_limit_step("us", "bad", list(KEEP), 3, 60), KEPT + "accepted boolean", 60))
+    health = s.health_states(failure_streaks(rows, "k", ORDER, "ok"), "ok", "ms", fast=50.0).select("id", "streak", "health")
+    same(health, run(s.health_step("ok", "ms", ["id"], fast=50.0), "id bigint, streak bigint, health string"))
+    scores = rolling_zscore(rows, ["k"], ORDER, "ms", size=40, limit=1.5).select("id", F.round("z", 8).alias("z"), "is_anomaly")
+    same(scores, run(s.zscore_step("ms", ["id"], 40, limit=1.5), "id bigint, z double, is_anomaly boolean").withColumn("z", F.round("z", 8)))
+    step = lambda: s.rollout_step("us", "bad", "ok", "ms", ["id"], min_promote=3, min_age=20, error_limit=0.95, latency_limit=9.0, min_rollback=2)
+    same(fold_sorted(rows, ["k"], ORDER, step(), "id bigint, " + s.ROLLOUT), run(step(), "id bigint, " + s.ROLLOUT))
+
+
+def test_rows_behind_the_watermark_are_dropped(spark, rows, tmp_path):
+    """The second hundred comes when the watermark is past it: the result is that of the others."""
+    import time
+
+    from millrace.operators.windows import failure_streaks
+
+    for part in (0, 2, 3, 1):
+        rows.where(F.floor(F.col("id") / 100) == part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    step = s.health_step("ok", "ms", ["id"], fast=50.0)
+    live = s.run_keyed(stream, ["k"], ORDER, step, "id bigint, streak bigint, health string", "0 seconds", F.timestamp_millis("us"))
+    left = rows.where(F.floor(F.col("id") / 100) != 1)
+    same(s.health_states(failure_streaks(left, "k", ORDER, "ok"), "ok", "ms", fast=50.0).select("id", "streak", "health"), live)
+
+
+def test_closed_windows_come_out_once(spark, shuffled, rows, tmp_path):
+    end = str(tmp_path / "end")
+    timed = with_end(shuffled().withColumn("ts", F.timestamp_millis("us")), "ts", end).withWatermark("ts", "1 minute")
+    sums = timed.groupBy(F.window("ts", "1 second")).agg(F.count(F.lit(1)).alias("n"))
+    got = run_available(sums, end=end).select(F.unix_seconds("window.start").alias("at"), "n")
+    same(rows.groupBy(F.floor(F.col("us") / 1000).alias("at")).agg(F.count(F.lit(1)).alias("n")).select("at", "n"), got.select("at", "n"))
+
+
+def test_replayed_rows_are_written_once(rows, shuffled):
+    out = run_available(shuffled().select("id", "k").unionByName(shuffled().select("id", "k")), once=["id"])
+    same(rows.select("id", "k"), out.select("id", "k"))
