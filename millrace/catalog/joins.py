@@ -66,9 +66,12 @@ def capture(spark, sf):
 
 @query("jon_4_interval_promotion", f"""WITH {CAPTURE}
 SELECT f.user_id, f.file_id, f.priority, min(a.priority) AS new_priority, CAST(100 AS DOUBLE) AS score
-FROM files f JOIN alarms a ON a.user_id = f.user_id AND f.at BETWEEN a.at - a.pre AND a.at + a.post AND a.priority < f.priority GROUP BY ALL""")
+FROM files f JOIN alarms a ON a.user_id = f.user_id AND f.at BETWEEN a.at - a.pre AND a.at + a.post AND a.priority < f.priority
+WHERE CASE WHEN f.file_id % 5 = 0 THEN 'UPLOADED' WHEN f.file_id % 7 > 0 THEN 'PENDING' END = 'PENDING' GROUP BY ALL""")
 def _(spark, sf):
-    return j.promote_in_windows(*capture(spark, sf), "user_id")
+    files, alarms = capture(spark, sf)
+    state = F.when(F.col("file_id") % 5 == 0, "UPLOADED").when(F.col("file_id") % 7 > 0, "PENDING")
+    return j.promote_in_windows(files.withColumn("state", state), alarms, "user_id", state="state")
 
 
 @query("jon_5_category_union", """

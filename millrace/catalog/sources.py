@@ -99,14 +99,18 @@ def _(spark, sf):
 
 
 @query("src_9_json_documents", r"""
-SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'event ' || event_type ELSE props END AS text, regexp_extract(props, '(\d+)', 1) AS k FROM events""")
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'event ' || event_type ELSE props END AS text, regexp_extract(props, '(\d+)', 1) AS k FROM events
+UNION ALL SELECT event_id, 'second', NULL FROM events WHERE event_id % 10 = 0""")
 def _(spark, sf):
     record = F.when(
         F.col("event_id") % 2 == 0,
         F.concat(F.lit('{"text": "event '), "event_type", F.lit('", '), F.expr("substring(props, 2)")),
     ).otherwise(F.col("props"))
-    parts = s.json_documents(record, "text")
-    return table(spark, sf, "events").select("event_id", parts["text"].alias("text"), parts["metadata"]["k"].alias("k"))
+    several = F.concat(F.lit("["), record, F.lit(', {"text": "second"}]'))
+    records = F.when(F.col("event_id") % 10 == 0, several).otherwise(record)
+    items = table(spark, sf, "events").select("event_id", F.explode(s.json_items(records)).alias("item"))
+    parts = s.json_documents(F.col("item"), "text")
+    return items.select("event_id", parts["text"].alias("text"), parts["metadata"]["k"].alias("k"))
 
 
 @query("src_10_object_listing", """

@@ -52,7 +52,7 @@ def sync_report(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def promote_in_windows(
-    files: DataFrame, events: DataFrame, key: str, hot_rows: int | None = None, levels: int = 4
+    files: DataFrame, events: DataFrame, key: str, hot_rows: int | None = None, levels: int = 4, state: str | None = None
 ) -> DataFrame:
     """Files created inside the capture window of an event of the same session.
 
@@ -60,8 +60,11 @@ def promote_in_windows(
     (``at``, ``pre`` and ``post`` in microseconds). Each event opens its window
     and closes it again on the time line of its session; a file looks at how
     many windows of each priority are open. No (file, event) pairs are built,
-    so a session with many of both stays linear.
+    so a session with many of both stays linear. With ``state``, the column of
+    a file's state, only files that still wait for their upload are promoted.
     """
+    if state:
+        files = files.where(F.col(state) == "PENDING")
     opened = [F.when(F.col("priority") == p, 1).otherwise(0).alias(f"d{p}") for p in range(levels)]
     closed = [F.when(F.col("priority") == p, -1).otherwise(0).alias(f"d{p}") for p in range(levels)]
     none = [F.lit(0).alias(f"d{p}") for p in range(levels)]

@@ -139,6 +139,12 @@ def csv_row_documents(df: DataFrame, stem: str, row_number: Column, text_column:
     return df.select(F.concat(F.lit(f"{stem}_"), row_number).alias("doc_id"), text.alias("text"), keep.alias("metadata"))
 
 
+def json_items(records: Column) -> Column:
+    """The objects of a column whose values are one JSON object or a list of them, as an array to explode."""
+    listed = F.from_json(records, "array<string>")
+    return F.when(F.ltrim(records).startswith("["), listed).otherwise(F.array(records))
+
+
 def json_documents(records: Column, text_key: str) -> dict[str, Column]:
     """Text and metadata of one JSON object; the whole object is the text when the key is absent."""
     fields = F.from_json(records, "map<string,string>")
