@@ -224,3 +224,9 @@ def test_closed_windows_come_out_once(spark, shuffled, rows, tmp_path):
 def test_replayed_rows_are_written_once(rows, shuffled):
     out = run_available(shuffled().select("id", "k").unionByName(shuffled().select("id", "k")), once=["id"])
     same(rows.select("id", "k"), out.select("id", "k"))
+
+
+def test_queues_do_not_depend_on_the_cut(stream, shuffled):
+    step = s.batching_step("us", ["k", "id", "us"], 4, 20)
+    run = lambda rows: s.run_keyed(rows, ["k"], ORDER, step, KEPT + "us bigint, " + s.BATCHING, "1 minute")
+    same(run(stream()), run(shuffled()))
