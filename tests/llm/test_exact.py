@@ -270,6 +270,23 @@ def test_repeats_with_periodic_and_overlapping_texts(spark):
         assert len(met) == 1 and len({o.doc_id for o in r.occurrences}) > 1 and r.length >= 50
 
 
+def test_repeats_with_ids_that_repeat_or_are_missing(spark):
+    """Different texts of one id, or without one, are judged each by itself."""
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(120)) for _ in range(8)]
+    rows = [(rng.choice([1, 2, 3, 4, None]), "x" * rng.randrange(3) + "".join(rng.choices(base, k=rng.randrange(1, 4)))) for _ in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = []
+    for doc, text in rows:
+        raw, gone = text.encode(), np.zeros(len(text), bool)
+        earlier = [t.encode() for d, t in rows if d is not None and (doc is None or d < doc)]
+        for i in range(len(raw) - 49):
+            if any(raw[i : i + 50] in e for e in earlier):
+                gone[i : i + 50] = True
+        want.append((str(doc), np.frombuffer(raw, np.uint8)[~gone].tobytes()))
+    assert sorted((str(r.doc_id), bytes(r.kept)) for r in repeats.deduplicate(df).collect()) == sorted(want)
+
+
 def test_suffix_groups_against_all_substrings():
     rng = random.Random(4)
     for _ in range(30):
