@@ -110,10 +110,13 @@ def _(spark, sf):
 
 @query("drf_8_summary", f"""WITH {KS}
 SELECT bool_or(statistic > 0.1) AS any_drift, count(*) FILTER (statistic > 0.1) AS drifted, coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (statistic > 0.1), '') AS names,
-  round(avg(CASE WHEN statistic > 0.1 THEN 1 ELSE 0 END) * 100, 6) AS percentage FROM ks""")
+  round(avg(CASE WHEN statistic > 0.1 THEN 1 ELSE 0 END) * 100, 6) AS percentage,
+  string_agg(feature || '=' || CAST(round(statistic * 10000) AS BIGINT), ',' ORDER BY feature) AS scores FROM ks""")
 def _(spark, sf):
     out = d.drift_summary(d.ks_drift(d.ks_statistic(*halves(spark, sf), FEATURES)))
-    return out.withColumn("percentage", r6("percentage"))
+    score = lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"] * 10000).cast("bigint"))
+    scores = F.array_join(F.transform(F.array_sort(F.map_entries("scores")), score), ",")
+    return out.withColumn("percentage", r6("percentage")).withColumn("scores", scores)
 
 
 @query("drf_9_accuracy_degradation", """

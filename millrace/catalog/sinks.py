@@ -130,7 +130,8 @@ def _(spark, sf):
 
 @query("snk_11_report_json")
 def _(spark, sf):
-    return k.report_document(v.cost_rows(spark, sf), "1995-01-01", "2001-12-31")
+    limits = {"O": (40.0, "Provider", 2), "F": (40.0, "Provider", 1)}
+    return k.report_document(v.cost_rows(spark, sf), "1995-01-01", "2001-12-31", limits)
 
 
 STATES = """log AS (SELECT event_id, user_id, ts, CASE event_type WHEN 'signup' THEN 'PENDING' WHEN 'click' THEN 'UPLOADING' WHEN 'view' THEN 'VERIFYING' WHEN 'purchase' THEN 'UPLOADED' ELSE 'ERROR' END AS state FROM events)"""

@@ -107,14 +107,25 @@ def _(spark, sf):
 @query("str_5_hourly_rollup", f"""WITH {v.TELEMETRY}, {v.USAGE}
 SELECT epoch_us(date_trunc('hour', ts)) AS hour, round(sum(gpu_cost + vector_cost + network_cost + token_cost), 6) AS cost, count(*) AS requests, CAST(sum(tokens) AS BIGINT) AS tokens FROM usage GROUP BY 1""")
 def _(spark, sf):
+    return cost_rollup(spark, sf, "1 hour").withColumnRenamed("start", "hour")
+
+
+def cost_rollup(spark, sf, size):
+    """Costs, requests and tokens of closed windows of one size."""
     tokens = F.floor(F.col("value") * 10)
     cost = F.col("value") / 3600 * v.GPU_HOUR + (F.col("k") % 5) * v.VECTOR_QUERY + F.col("k") / 1000 * v.NETWORK_GB + tokens / 1000 * v.THOUSAND_TOKENS
     end = new_path(spark, "end")
-    sums = with_end(live(spark, sf), "ts", end).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour")).agg(
+    sums = with_end(live(spark, sf), "ts", end).withWatermark("ts", "1 hour").groupBy(F.window("ts", size)).agg(
         F.sum(cost).alias("cost"), F.count(F.lit(1)).alias("requests"), F.sum(tokens).alias("tokens")
     )
     out = run_available(sums, end=end)
-    return out.select(F.unix_micros("window.start").alias("hour"), r6("cost").alias("cost"), "requests", "tokens")
+    return out.select(F.unix_micros("window.start").alias("start"), r6("cost").alias("cost"), "requests", "tokens")
+
+
+@query("str_5_daily_rollup", f"""WITH {v.TELEMETRY}, {v.USAGE}
+SELECT epoch_us(date_trunc('day', ts)) AS day, round(sum(gpu_cost + vector_cost + network_cost + token_cost), 6) AS cost, count(*) AS requests, CAST(sum(tokens) AS BIGINT) AS tokens FROM usage GROUP BY 1""")
+def _(spark, sf):
+    return cost_rollup(spark, sf, "1 day").withColumnRenamed("start", "day")
 
 
 MAX_BATCH, TIMEOUT = 8, 600_000_000

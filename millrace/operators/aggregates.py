@@ -85,6 +85,10 @@ def embedding_coverage(rows: DataFrame, embedding: str) -> DataFrame:
 
 
 def state_priority_counts(files: DataFrame, states: Sequence[str]) -> DataFrame:
+    """Files per priority and state; a state that is not listed is an error, rows without one are not counted."""
+    state = F.col("state")
+    unknown = F.raise_error(F.concat(F.lit("unknown state "), state)).cast("string")
+    files = files.withColumn("state", F.when(state.isNull() | state.isin(*states), state).otherwise(unknown))
     return files.groupBy("priority").pivot("state", list(states)).count().na.fill(0, list(states))
 
 

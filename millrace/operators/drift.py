@@ -128,11 +128,12 @@ def prediction_drift(reference: DataFrame, current: DataFrame, column: str) -> D
 
 
 def drift_summary(decisions: DataFrame) -> DataFrame:
-    """``decisions``: feature, drift. One row over the features."""
+    """``decisions``: feature, drift, statistic. One row over the features, ``scores`` a map by feature."""
     names = F.array_sort(F.filter(F.collect_list(F.when(F.col("drift"), F.col("feature"))), lambda x: x.isNotNull()))
     return decisions.agg(
         F.bool_or("drift").alias("any_drift"), F.count_if("drift").alias("drifted"),
         F.array_join(names, ",").alias("names"), (F.avg(F.col("drift").cast("int")) * 100).alias("percentage"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "statistic")))).alias("scores"),
     )
 
 

@@ -62,7 +62,13 @@ def promote_in_windows(
     many windows of each priority are open. No (file, event) pairs are built,
     so a session with many of both stays linear. With ``state``, the column of
     a file's state, only files that still wait for their upload are promoted.
+    Event priorities run from 0 to ``levels`` - 1; any other is an error, and an
+    event without one opens no window.
     """
+    level = F.col("priority")
+    unknown = F.raise_error(F.concat(F.lit("unknown event priority "), level.cast("string"))).cast("int")
+    checked = F.when(level.isNull() | level.between(0, levels - 1), level.cast("int")).otherwise(unknown)
+    events = events.withColumn("priority", checked)
     if state:
         files = files.where(F.col(state) == "PENDING")
     opened = [F.when(F.col("priority") == p, 1).otherwise(0).alias(f"d{p}") for p in range(levels)]

@@ -41,10 +41,11 @@ def jdbc_source(
     return reader.options(**options).load()
 
 
-def object_listing(spark: SparkSession, path: str) -> DataFrame:
-    """Key, size and modification time; the content is never read."""
+def object_listing(spark: SparkSession, path: str, etag: bool = False) -> DataFrame:
+    """Key, size and modification time; the content is read only for an ``etag``, its MD5."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
+    tag = [F.md5("content").alias("etag")] if etag else []
+    return files.select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"), *tag)
 
 
 # -- documents -------------------------------------------------------------------

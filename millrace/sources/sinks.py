@@ -8,6 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.aggregates import cost_shares
+from millrace.operators.filters import recommendations
+from millrace.operators.windows import group_outliers, trend
 from millrace.plans.ordered import Ordered
 
 
@@ -107,8 +110,25 @@ def report_rows(costs: DataFrame) -> DataFrame:
     return total.unionByName(per)
 
 
-def report_document(costs: DataFrame, start: str, end: str) -> DataFrame:
-    """One JSON document with period, total and a map per dimension."""
+def report_document(costs: DataFrame, start: str, end: str, limits: dict[str, tuple[float, str, int]] | None = None) -> DataFrame:
+    """One JSON document: period, total, a map per dimension, anomalies, trends and recommendations.
+
+    ``costs``: provider, region, service, day, amount; only days from ``start``
+    to ``end`` count. Anomalies are the days on which a service's cost lies
+    more than two deviations from its mean, trends compare the last days,
+    and ``limits`` are rules on the shares of providers. All lists are
+    bounded by the days of the period, the services and the rules.
+    """
+    costs = costs.where(F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    daily = costs.groupBy("service", "day").agg(F.sum("amount").cast("double").alias("amount"))
+    odd = group_outliers(daily, "service", "amount").select("day", "service", "amount", "average", "std_dev", "severity")
+    days = daily.groupBy("day").agg(F.sum("amount").alias("amount"))
+    trends = trend(days, "day", "amount").select(F.struct("daily_change", "weekly_change")).scalar()
+    advice = recommendations(cost_shares(costs, "provider", "amount"), "provider", limits or {"": (100.0, "", 0)})
+
+    def listed(df):
+        return df.agg(F.array_sort(F.collect_list(F.struct(*df.columns)))).scalar()
+
     dims = ["provider", "region", "service"]
     cells = costs.groupBy(*dims).agg(F.sum("amount").alias("amount"))
 
@@ -123,6 +143,7 @@ def report_document(costs: DataFrame, start: str, end: str) -> DataFrame:
             F.struct(
                 F.struct(F.lit(start).alias("start"), F.lit(end).alias("end")).alias("period"),
                 F.struct("total").alias("summary"), *[breakdown(d).alias(f"by_{d}") for d in dims],
+                listed(odd).alias("anomalies"), trends.alias("trends"), listed(advice).alias("recommendations"),
             )
         ).alias("report")
     )

@@ -1,9 +1,13 @@
-"""Large counts, null keys and zero vectors."""
+"""Large counts, null keys, zero vectors, values outside the known ones, whole reports."""
 
+import hashlib
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import aggregates, experiments, features, models, sets
-from millrace.sources import sinks
+from millrace.operators import aggregates, drift, experiments, features, joins, models, sets
+from millrace.sources import scans, sinks
 
 
 def test_many_ties(spark):
@@ -44,3 +48,39 @@ def test_forest_sees_all_rows(spark):
     assert any(10 < c < 50 for c in cuts)
     decisions = forest.score(rows, ["id"]).agg(F.avg((F.col("decision") < 0).cast("int"))).first()[0]
     assert decisions <= 0.02
+
+
+def test_unknown_priorities_and_states_are_errors(spark):
+    files = spark.createDataFrame([("k", 1, 10, 3, "PENDING")], "key string, file_id int, at long, priority int, state string")
+    event = "key string, event_id int, at long, pre long, post long, priority int"
+    known = joins.promote_in_windows(files, spark.createDataFrame([("k", 7, 10, 5, 5, 0), ("k", 8, 10, 5, 5, None)], event), "key")
+    assert [(r["file_id"], r["new_priority"]) for r in known.collect()] == [(1, 0)]
+    with pytest.raises(Exception, match="unknown event priority 4"):
+        joins.promote_in_windows(files, spark.createDataFrame([("k", 7, 10, 5, 5, 4)], event), "key").collect()
+    counts = aggregates.state_priority_counts(files, ["PENDING", "UPLOADED"]).first()
+    assert (counts["PENDING"], counts["UPLOADED"]) == (1, 0)
+    with pytest.raises(Exception, match="unknown state PENDING"):
+        aggregates.state_priority_counts(files, ["UPLOADED"]).collect()
+
+
+def test_report_covers_its_period(spark):
+    """Twenty even days and one dear one; what lies outside the period counts nowhere."""
+    rows = [("p", "r", "s", f"2024-01-{i:02}", 10.0) for i in range(1, 21)] + [("q", "r", "s", "2024-01-21", 90.0), ("p", "r", "s", "2023-12-31", 1e6)]
+    costs = spark.createDataFrame(rows, "provider string, region string, service string, day string, amount double").withColumn("day", F.to_date("day"))
+    report = json.loads(sinks.report_document(costs, "2024-01-01", "2024-01-31", {"p": (60.0, "Provider", 3)}).first()["report"])
+    assert report["summary"] == {"total": 290.0} and report["by_provider"] == {"p": 200.0, "q": 90.0}
+    assert [(a["day"], a["severity"]) for a in report["anomalies"]] == [("2024-01-21", "high")]
+    assert report["trends"]["daily_change"] == 800.0 and round(report["trends"]["weekly_change"], 3) == 114.286
+    assert [(a["provider"], a["category"], a["priority"]) for a in report["recommendations"]] == [("p", "Provider", 3)]
+
+
+def test_drift_summary_has_all_scores(spark):
+    stats = spark.createDataFrame([("a", 0.3), ("b", 0.05)], "feature string, statistic double")
+    got = drift.drift_summary(drift.ks_drift(stats)).first()
+    assert got["scores"] == {"a": 0.3, "b": 0.05} and got["names"] == "a"
+
+
+def test_listing_with_etags(spark, tmp_path):
+    (tmp_path / "x.txt").write_bytes(b"some content")
+    got = scans.object_listing(spark, str(tmp_path), etag=True).first()
+    assert (got["etag"], got["size"]) == (hashlib.md5(b"some content").hexdigest(), 12)
