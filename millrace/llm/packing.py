@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import per_text
@@ -17,7 +17,9 @@ from millrace.session import materialise
 
 WINDOW = 2048
 #: documents of a shard of the index
-SHARD = 1024
+SHARD = 2048
+#: documents of the sample for each shard, and numbers of a content sketch
+SAMPLE, SKETCH = 16, 64
 #: id that ends a document
 END = 1
 K1, B = 1.2, 0.75
@@ -94,6 +96,7 @@ class Index:
         self.queries = []
         for i, unit in enumerate(units):
             found, times = np.unique(unit, return_counts=True)
+            found = found.astype(np.int64)
             self.queries.append(found)
             terms.append(found)
             docs.append(np.full(len(found), i))
@@ -116,15 +119,77 @@ class Index:
         return np.bincount(self.docs[places], self.weights[places], self.size)
 
 
-def _fill(units: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int) -> Iterator[list[tuple[int, int, int]]]:
-    """Windows as lists of (unit, start, length).
+@lru_cache(1)
+def _directions(size: int) -> np.ndarray:
+    """A sign for each token id and number of the sketch."""
+    return np.random.default_rng(7).integers(0, 2, (size, SKETCH), np.int8) * np.int8(2) - np.int8(1)
+
+
+def sketch(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
+    """The BM25 weights of a document, projected to ``SKETCH`` whole numbers, so that near documents have near sketches.
+
+    All sums are sums of whole numbers, which no order of adding changes: a
+    task that is run again gives each document the same shard.
+    """
+    terms, times = np.unique(ids, return_counts=True)
+    norm = K1 * (1 - B + B * len(ids) / max(mean_length, 1e-9))
+    weights = np.rint(idf[terms].astype(float) * times * (K1 + 1) / (times + norm) * 256)
+    size = np.sqrt(float(weights @ weights))
+    made = weights @ _directions(len(idf))[terms].astype(float)
+    return np.rint(made / size * 1024) if size else made
+
+
+class Tree:
+    """Shards by content: halves of a sample along the direction in which it differs most, until each is one shard.
+
+    Documents that no direction tells apart, such as copies, are dealt to as
+    many shards as they fill.
+    """
+
+    def __init__(self, sample: np.ndarray, each: int, shard: int):
+        self.nodes: list[tuple] = []
+        self.shards = 0
+        self._grow(sample.astype(float), each, shard)
+
+    def _grow(self, rows: np.ndarray, each: int, shard: int) -> int:
+        at, parts = len(self.nodes), max(1, -(-len(rows) * each // shard))
+        self.nodes.append((None, self.shards, parts, 0))
+        if parts > 1:
+            centred = rows - rows.mean(axis=0)
+            _, vectors = np.linalg.eigh(centred.T @ centred)
+            along = np.rint(vectors[:, -1] * 4096)
+            places = rows @ along
+            ranked = np.sort(places)
+            least = ranked[len(rows) * (parts // 2) // parts]
+            if least == ranked[0]:
+                # the first of many equal ones: cut behind them
+                more = ranked[np.searchsorted(ranked, least, "right") :]
+                least = more[0] if len(more) else least
+            if least > ranked[0]:
+                low = self._grow(rows[places < least], each, shard)
+                high = self._grow(rows[places >= least], each, shard)
+                self.nodes[at] = (along, least, low, high)
+                return at
+        self.shards += parts
+        return at
+
+    def shard(self, sketched: np.ndarray, mark: int) -> int:
+        along, least, low, high = self.nodes[0]
+        while along is not None:
+            along, least, low, high = self.nodes[low if float(sketched @ along) < least else high]
+        return least + mark % low
+
+
+def _fill(
+    units: list[np.ndarray], lengths: np.ndarray, idf: np.ndarray, mean_length: float, window: int
+) -> Iterator[list[tuple[int, int, int]]]:
+    """Windows as lists of (unit, start, length); ``units`` are all ids of the documents, ``lengths`` what is left of each.
 
     Each window starts with a seed, what is left of the last unit that was cut
     or else the first unused unit, and takes the unused neighbours of the seed
     in the order of their score, cutting the last one so that it is full.
     """
     index = Index(units, idf, mean_length)
-    lengths = np.array([len(u) for u in units])
     unused = lengths > 0
     rest, begun, place = None, 0, 0
     while True:
@@ -176,7 +241,7 @@ def _power_parts(pieces: list[tuple[int, int, int]], window: int) -> list[list[t
 
 
 def tokenise(df: DataFrame, files: dict[str, str], id_col: str, text_col: str, window: int) -> DataFrame:
-    """(doc_id, tie, doc_tokens, crcs, rest): checksums of the full windows from the start, ids of what is left."""
+    """(doc_id, tie, doc_tokens, crcs, width, ids): checksums of the full windows from the start, all ids."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     end = np.array([END], "<u4").tobytes()
@@ -188,13 +253,13 @@ def tokenise(df: DataFrame, files: dict[str, str], id_col: str, text_col: str, w
             ids = encode(text) + end
             full = len(ids) // 4 // window
             crcs = [zlib.crc32(ids[i * window * 4 : (i + 1) * window * 4]) for i in range(full)]
-            rest = np.frombuffer(ids[full * window * 4 :], "<u4")
-            packed = rest.astype("<u2") if rest.max(initial=0) < 1 << 16 else rest
+            whole = np.frombuffer(ids, "<u4")
+            packed = whole.astype("<u2") if whole.max(initial=0) < 1 << 16 else whole
             return len(ids) // 4, crcs, packed.itemsize, packed.tobytes()
 
         return each
 
-    return per_text(rows, {"doc_tokens": "bigint", "crcs": "array<bigint>", "width": "int", "rest": "binary"}, work)
+    return per_text(rows, {"doc_tokens": "bigint", "crcs": "array<bigint>", "width": "int", "ids": "binary"}, work)
 
 
 def pack(
@@ -208,12 +273,13 @@ def pack(
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of all rows.
 
     A text's ids end with id 1. Whole windows from its start are sequences of
-    their own; what is left is a unit of the index. Units are dealt to shards
-    of about ``shard`` documents by a hash of id and text, so a shard's size
-    does not depend on any source or key. In each shard windows are filled
-    from a BM25 index over the units' token ids, whose document counts and
-    mean length are those of all units. Only the last window of a shard can be
-    short; it is cut into sequences whose lengths are powers of two.
+    their own; what is left is a unit of the index. Documents are put to shards
+    of about ``shard`` documents by content: a tree halves a sample of their
+    weighted token ids until each part is one shard, whatever the size of the
+    corpus, so that near documents meet. In each shard windows are filled from
+    a BM25 index over all token ids of the documents, whose document counts
+    and mean length are those of the corpus. Only the last window of a shard
+    can be short; it is cut into sequences whose lengths are powers of two.
 
     A null text counts as empty and is the end id alone; a null id stays null;
     repeated rows are packed as often as they are there, in any order among
@@ -225,17 +291,17 @@ def pack(
     def document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
         for batch in batches:
-            for raw, width in zip(batch["rest"], batch["width"]):
+            for raw, width in zip(batch["ids"], batch["width"]):
                 ids = np.unique(np.frombuffer(raw, f"<u{width}"))
                 if len(ids) and int(ids[-1]) >= len(counts):
                     counts = np.pad(counts, (0, int(ids[-1]) + 1 - len(counts)))
                 counts[ids] += 1
-                n, tokens = n + (len(raw) > 0), tokens + len(raw) // width
+                n, tokens = n + 1, tokens + len(raw) // width
         used = np.flatnonzero(counts)
         yield pd.DataFrame({"term": [-2, -1, *used.tolist()], "n": [n, tokens, *counts[used].tolist()]})
 
     # one row per token id of the vocabulary: its size bounds what the driver gets and sends
-    seen = units.select("rest", "width").mapInPandas(document_counts, "term bigint, n bigint")
+    seen = units.select("ids", "width").mapInPandas(document_counts, "term bigint, n bigint")
     seen = seen.groupBy("term").agg(F.sum("n").alias("n")).toPandas().set_index("term")["n"]
     n, tokens = int(seen.get(-2, 0)), int(seen.get(-1, 0))
     counts = seen[seen.index >= 0]
@@ -244,8 +310,22 @@ def pack(
     mean_length = tokens / max(1, n)
     told = spark.sparkContext.broadcast(idf)
 
-    shards = max(1, -(-units.count() // shard))
-    mark = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "tie"), F.lit(shards))
+    tree = _tree(units, told, mean_length, n, shard)
+    grown = spark.sparkContext.broadcast(tree)
+    columns = ["doc_id", "tie", "doc_tokens", "crcs", "width", "ids"]
+
+    def place():
+        def each(value):
+            if grown.value.shards < 2:
+                return (0,)
+            ids = np.frombuffer(value["ids"], f"<u{value['width']}")
+            return (grown.value.shard(sketch(ids, told.value, mean_length), value["mark"]),)
+
+        return each
+
+    value = F.struct("ids", "width", _mark().alias("mark")).alias("value")
+    placed = per_text(units.select(*columns, value), {"shard": "bigint"}, place)
+
     schema = units.select(
         "doc_id", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("length"),
         F.lit(0).cast("bigint").alias("ids_crc32"), "doc_tokens", F.lit(0).cast("bigint").alias("sequence_id"),
@@ -260,9 +340,10 @@ def pack(
             for j, crc in enumerate(crcs):
                 out.append((ids[i], j * window, window, int(crc), totals[i], first + number, 0))
                 number += 1
-        parts = [np.frombuffer(raw, f"<u{width}").astype("<u4") for raw, width in zip(rows["rest"], rows["width"])]
+        units = [np.frombuffer(raw, f"<u{width}") for raw, width in zip(rows["ids"], rows["width"])]
         heads = [len(crcs) * window for crcs in rows["crcs"]]
-        for pieces in _fill([p.astype(np.int64) for p in parts], told.value, mean_length, window):
+        parts = [u[head:].astype("<u4") for u, head in zip(units, heads)]
+        for pieces in _fill(units, np.array([len(p) for p in parts]), told.value, mean_length, window):
             whole = sum(n for _, _, n in pieces) == window
             for sequence in [pieces] if whole else _power_parts(pieces, window):
                 offset = 0
@@ -276,4 +357,27 @@ def pack(
             made["doc_id"] = made["doc_id"].astype("object").where(made["doc_id"].notna(), None)
         return made
 
-    return units.withColumn("shard", mark).groupBy("shard").applyInPandas(fill, schema)
+    return placed.groupBy("shard").applyInPandas(fill, schema)
+
+
+def _mark() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("string"), "tie")
+
+
+def _tree(units: DataFrame, told, mean_length: float, n: int, shard: int) -> Tree:
+    """Of a sample with ``SAMPLE`` documents a shard, whose sketches are all that the driver gets."""
+    each = max(1, shard // SAMPLE) if n > shard * 16 else 1
+    if n <= shard:
+        return Tree(np.zeros((n, SKETCH)), 1, shard)
+
+    def work():
+        def of(value):
+            return (sketch(np.frombuffer(value["ids"], f"<u{value['width']}"), told.value, mean_length).astype(int).tolist(),)
+
+        return of
+
+    some = units.where(F.pmod(F.xxhash64(_mark(), F.lit(1)), F.lit(each)) == 0)
+    rows = per_text(some.select("tie", F.struct("ids", "width").alias("value")), {"sketch": "array<int>"}, work)
+    # in one order, as sums of the same rows give the same tree
+    sample = sorted(rows.select("sketch").toArrow().column(0).to_pylist())
+    return Tree(np.array(sample).reshape(-1, SKETCH), each, shard)

@@ -1,0 +1,37 @@
+"""Whole jobs: neighbours of all shards, copied pages, long and short secrets, grouped numbers."""
+
+import random
+
+import numpy as np
+
+from millrace.llm import packing
+from millrace.llm.catalog import tokenizer_files
+
+
+def _topics(n: int, each: int) -> list[tuple[int, str]]:
+    """Documents of ``n`` topics without common words, ids in no order of topics."""
+    rng = random.Random(3)
+    names = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n * 30)]
+    return [(i, " ".join(rng.choices(names[i % n * 30 : i % n * 30 + 30], k=60))) for i in range(n * each)]
+
+
+def test_packing_finds_neighbours_of_the_whole_corpus(spark):
+    for each in (16, 64):  # the larger the corpus, the more shards
+        docs = spark.createDataFrame(_topics(16, each), "doc_id int, text string")
+        rows = packing.pack(docs, tokenizer_files(), window=512, shard=64).toPandas()
+        assert sorted(set(rows.doc_id)) == list(range(16 * each))
+        alike = [len(set(g.doc_id % 16)) == 1 for _, g in rows.groupby("sequence_id") if len(g) > 1]
+        assert np.mean(alike) > 0.8
+
+
+def test_packing_scores_all_ids_of_a_document():
+    # what is left of the first unit is its last two ids; only its head has the words of unit 2
+    units = [np.array([5, 5, 6, 7, 1, 2]), np.array([3, 4, 3, 4]), np.array([5, 6, 7, 7])]
+    windows = list(packing._fill(units, np.array([2, 4, 4]), np.ones(8, np.float32), 4.7, 6))
+    assert [unit for unit, _, _ in windows[0]] == [0, 2]
+
+
+def test_copies_fill_as_many_shards_as_they_need():
+    tree = packing.Tree(np.ones((1000, packing.SKETCH)), 1, 100)
+    dealt = [tree.shard(np.ones(packing.SKETCH), mark) for mark in range(-500, 500)]
+    assert tree.shards == 10 and max(np.bincount(dealt)) == 100
