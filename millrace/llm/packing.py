@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,10 +105,20 @@ class Index:
         term, doc, tf = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (terms, docs, counts))
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc]) if len(term) else np.zeros(0)
+        self.size = len(units)
+        # terms of many documents are rows of a matrix, whose products give the scores of all seeds at once
+        often = np.bincount(term, minlength=len(idf)) > self.size // 32
+        rows = np.cumsum(often) - 1
+        dense = often[term]
+        self.matrix = np.zeros((int(often.sum()), self.size), np.float32)
+        self.matrix[rows[term[dense]], doc[dense]] = weight[dense]
+        self.rows = [rows[q[often[q]]] for q in self.queries]
+        self.queries = [q[~often[q]] for q in self.queries]
+        self.blocks: dict[int, np.ndarray] = {}
+        term, doc, weight = term[~dense], doc[~dense], weight[~dense]
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = doc[order].astype(np.int32), weight[order].astype(np.float32)
         self.starts = np.searchsorted(term[order], np.arange(len(idf) + 1))
-        self.size = len(units)
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document of the shard for the tokens of ``seed``."""
@@ -116,13 +127,36 @@ class Index:
         counts = self.starts[terms + 1] - firsts
         # the postings of all terms, one after the other
         places = np.repeat(firsts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        return np.bincount(self.docs[places], self.weights[places], self.size)
+        return self._often(seed) + np.bincount(self.docs[places], self.weights[places], self.size)
+
+    def _often(self, seed: int) -> np.ndarray:
+        """The part of the terms of many documents."""
+        block, at = divmod(seed, 256)
+        if block not in self.blocks:
+            seeds = self.rows[block * 256 : block * 256 + 256]
+            asked = np.zeros((len(seeds), len(self.matrix)), np.float32)
+            for i, rows in enumerate(seeds):
+                asked[i, rows] = 1
+            self.blocks[block] = asked @ self.matrix
+        return self.blocks[block][at]
+
+
+def _ranked(scores: np.ndarray, unused: np.ndarray) -> Iterator[int]:
+    """Unused units, the highest score first and the first of equal ones; the best few are ranked before all others."""
+    scores = np.where(unused, scores, -1.0)
+    if len(scores) > 128:
+        edge = np.partition(scores, -64)[-64]
+        some = np.flatnonzero(scores >= max(edge, 0.0))
+        yield from some[np.argsort(-scores[some], kind="stable")].tolist()
+        scores[some] = -1.0
+    order = np.argsort(-scores, kind="stable")
+    yield from order[scores[order] >= 0].tolist()
 
 
 @lru_cache(1)
 def _directions(size: int) -> np.ndarray:
     """A sign for each token id and number of the sketch."""
-    return np.random.default_rng(7).integers(0, 2, (size, SKETCH), np.int8) * np.int8(2) - np.int8(1)
+    return np.random.default_rng(7).integers(0, 2, (size, SKETCH)) * 2.0 - 1.0
 
 
 def sketch(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
@@ -135,7 +169,7 @@ def sketch(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
     norm = K1 * (1 - B + B * len(ids) / max(mean_length, 1e-9))
     weights = np.rint(idf[terms].astype(float) * times * (K1 + 1) / (times + norm) * 256)
     size = np.sqrt(float(weights @ weights))
-    made = weights @ _directions(len(idf))[terms].astype(float)
+    made = weights @ _directions(len(idf))[terms]
     return np.rint(made / size * 1024) if size else made
 
 
@@ -206,11 +240,8 @@ def _fill(
         room -= take
         rest, begun = (seed, begun + take) if begun + take < lengths[seed] else (None, 0)
         if room:
-            scores = np.where(unused, index.scores(seed), -1.0)
-            # enough of the best for this window, all others only if these are too short
-            ranked = np.argsort(-scores, kind="stable")
-            for unit in ranked.tolist():
-                if not room or not unused[unit]:
+            for unit in _ranked(index.scores(seed), unused):
+                if not room:
                     break
                 unused[unit] = False
                 take = min(room, int(lengths[unit]))
@@ -312,19 +343,19 @@ def pack(
 
     tree = _tree(units, told, mean_length, n, shard)
     grown = spark.sparkContext.broadcast(tree)
-    columns = ["doc_id", "tie", "doc_tokens", "crcs", "width", "ids"]
-
-    def place():
-        def each(value):
-            if grown.value.shards < 2:
-                return (0,)
-            ids = np.frombuffer(value["ids"], f"<u{value['width']}")
-            return (grown.value.shard(sketch(ids, told.value, mean_length), value["mark"]),)
-
-        return each
-
-    value = F.struct("ids", "width", _mark().alias("mark")).alias("value")
-    placed = per_text(units.select(*columns, value), {"shard": "bigint"}, place)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = grown.value
+        for batch in batches:
+            ids, widths, marks = (batch.column(c).to_pylist() for c in ("ids", "width", "mark"))
+            found = [
+                tree.shard(sketch(np.frombuffer(i, f"<u{w}"), told.value, mean_length), m) if tree.shards > 1 else 0
+                for i, w, m in zip(ids, widths, marks)
+            ]
+            at = batch.schema.get_field_index("mark")
+            yield batch.set_column(at, "shard", pa.array(found, pa.int64()))
+
+    marked = units.withColumn("mark", _mark())
+    placed = marked.mapInArrow(place, marked.withColumnRenamed("mark", "shard").schema)
 
     schema = units.select(
         "doc_id", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("length"),
