@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from millrace.llm import packing
+from millrace.llm import html_text, packing
 from millrace.llm.catalog import tokenizer_files
 
 
@@ -35,3 +35,29 @@ def test_copies_fill_as_many_shards_as_they_need():
     tree = packing.Tree(np.ones((1000, packing.SKETCH)), 1, 100)
     dealt = [tree.shard(np.ones(packing.SKETCH), mark) for mark in range(-500, 500)]
     assert tree.shards == 10 and max(np.bincount(dealt)) == 100
+
+
+def test_copied_pages_keep_their_text(spark):
+    """Without a declared article: repeated rows, query-string variants, print copies and a changed date are no partners."""
+
+    def page(body, day="Monday"):
+        return f"<div>Home | News</div><p>{body}</p><div>{day}</div><div>All rights</div>"
+
+    bodies = {k: f"{k} " + " ".join(f"{k}{i}" for i in range(60)) for k in ("first", "second", "third")}
+    rows = [
+        (1, "http://h/news/1", page(bodies["first"])), (1, "http://h/news/1", page(bodies["first"])),
+        (2, "http://h/news/1?utm_source=feed", page(bodies["first"])), (3, "http://h/news/1/print", page(bodies["first"], "Friday")),
+        (4, "http://h/news/2", page(bodies["second"])), (5, "http://h/news/2?a=1", page(bodies["second"])),
+        (6, "http://h/news/3", page(bodies["third"])),
+    ]
+    rows += [(7 + i, f"http://alone/x?{i}", page("only")) for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    for parts in (1, 8, 40):  # groups of copies within a slice and over several
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = sorted((r.page_id, r.text) for r in html_text.extract(df).collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+        alone = "Home | News\n\nonly\n\nMonday\n\nAll rights"
+        want = [(1, bodies["first"])] * 2 + [(2, bodies["first"]), (3, bodies["first"] + "\n\nFriday"), (4, bodies["second"] + "\n\nMonday"), (5, bodies["second"] + "\n\nMonday")]  # beside the page of Friday
+        assert got == [*want, (6, bodies["third"]), *((7 + i, alone) for i in range(40))]
