@@ -94,10 +94,13 @@ def _mod97(text: str) -> int:
 
 
 def _iban(feistel: Feistel, found: str) -> str | None:
-    if not 15 <= len(found) <= 34 or _mod97(found[4:] + found[:4]) != 1:
+    """Written in one run or in groups of four, whose spaces stay."""
+    text = found.replace(" ", "")
+    if not 15 <= len(text) <= 34 or _mod97(text[4:] + text[:4]) != 1:
         return None
-    body = _letters(feistel, "iban" + found[:2], found[4:])
-    return f"{found[:2]}{98 - _mod97(body + found[:2] + '00'):02d}{body}"
+    body = _letters(feistel, "iban" + text[:2], text[4:])
+    new = iter(f"{text[:2]}{98 - _mod97(body + text[:2] + '00'):02d}{body}")
+    return "".join(c if c == " " else next(new) for c in found)
 
 
 def _ssn_ok(value: int) -> bool:
@@ -168,7 +171,7 @@ KINDS = [
     ("mail", r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _mail),
     ("date", r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)", _date),
     ("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _address),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", _iban),
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])", _iban),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
     ("phone", r"(?<![\w+.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
@@ -193,13 +196,9 @@ class Pseudonyms:
         match = _ANY.search(text)
         while match:
             new = self.of(match.lastgroup, match.group())
-            if new is None and match.lastgroup == "card" and " " in match.group():
-                # several numbers in a row: try the first by itself
-                first = match.group().split(" ")[0]
-                new = self.of("card", first) if 13 <= len(first) <= 19 else None
-                end = match.start() + len(first)
-            else:
-                end = match.end()
+            end = match.end()
+            if new is None and match.lastgroup in ("card", "iban"):
+                new, end = self._prefix(match)
             out.append(text[at : match.start()])
             out.append(text[match.start() : end] if new is None else new)
             n, at = n + (new is not None), end
@@ -207,6 +206,20 @@ class Pseudonyms:
         return "".join(out) + text[at:], n
 
 
+    def _prefix(self, match: re.Match) -> tuple[str | None, int]:
+        """The longest part of a match up to a separator that passes the check, and where the search goes on.
+
+        Without one the search goes on behind the first group, as a later group may begin a number.
+        """
+        found, kind = match.group(), match.lastgroup
+        cuts = [m.start() for m in re.finditer("[ -]", found)]
+        for cut in reversed(cuts):
+            new = self.of(kind, found[:cut])
+            if new is not None:
+                return new, match.start() + cut
+        return None, match.start() + cuts[0] if cuts else match.end()
+
+
 def pseudonymise(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_replaced) of every row.
 
@@ -215,7 +228,8 @@ def pseudonymise(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     permutation keyed with ``key`` onto values of the same kind and format that
     pass the same check, so equal values stay equal in all documents and
     different ones stay different. What fails its check, such as a number of
-    16 digits with a wrong check digit, is left as it is. The key is at most 64
+    16 digits with a wrong check digit, is left as it is; of several groups the
+    longest part from the first group that passes counts. The key is at most 64
     bytes. Whole texts are searched; a null text counts as empty, a null id
     stays null, repeated rows are returned repeated, other columns are not read.
     """
