@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, mixing, packing, pii, quality, repeats, secret_scans, simhash, toxicity, winnowing
+from millrace.llm import (
+    html_text, importance, mixing, packing, pii, quality, ranked_search, repeats, secret_scans, simhash, token_counts, toxicity,
+    winnowing,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -149,3 +152,88 @@ def op10(spark, sf_dir):
     return left.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+OP11_SQL = r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), wanted AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), lengths AS (
+  SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+), corpus AS (
+  SELECT count(*) AS N_docs, CAST(sum(n) AS BIGINT) AS L FROM lengths
+), held AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * N_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM held, corpus GROUP BY term, N_docs
+), impacts AS (
+  SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * N_docs) // L)) AS impact
+  FROM held JOIN lengths USING (doc_id), corpus
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * impact) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op11_ranked_search", OP11_SQL)
+def op11(spark, sf_dir):
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query("op12_token_counts")
+def op12(spark, sf_dir):
+    """From an empty cache, so that a run does not depend on the runs before it; production names a lasting folder."""
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+OP13_SQL = r"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))
+  )
+), all_texts AS (
+  SELECT doc_id AS id, text, true AS ours FROM documents UNION ALL SELECT item_id, text, false FROM benchmark
+), features AS (
+  SELECT id, ours, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM all_texts
+), spelt AS (
+  SELECT word, list_transform(range(length(hex(encode(word))) // 2), lambda k: CAST('0x' || substr(hex(encode(word)), 2 * k + 1, 2) AS BIGINT)) AS bytes
+  FROM (SELECT DISTINCT word FROM features)
+), hashed AS (
+  SELECT word, xor(list_reduce(list_concat([4294967295], bytes), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM spelt, crc
+), counts AS (
+  SELECT bucket, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t FROM features JOIN hashed USING (word) GROUP BY bucket
+), totals AS (
+  SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM counts, totals
+), weights AS (
+  SELECT id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+  FROM features JOIN hashed USING (word) JOIN gains USING (bucket) WHERE ours GROUP BY id
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000.0::DOUBLE * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights ON id = doc_id
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CAST(rank AS BIGINT) AS rank
+FROM scored s LEFT JOIN (SELECT * FROM ranked WHERE rank <= n // 10) r ON s.doc_id = r.doc_id
+"""
+
+
+@query("op13_importance_resampling", OP13_SQL)
+def op13(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10)
