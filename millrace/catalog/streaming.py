@@ -13,13 +13,14 @@ from millrace.operators import windows as w
 from millrace.plans.quantiles import exact_quantiles
 from millrace.plans.sequential import fold_sorted
 from millrace.session import new_path
+from millrace.streaming import keyed as k
 from millrace.streaming import stateful as s
-from millrace.streaming.jobs import run_available, stream_table, with_end
+from millrace.streaming.jobs import replayed_lateness, run_available, stream_table, with_end
 
 
-def live(spark, sf):
+def live(spark, sf, files_per_trigger=None):
     """Events as a stream, with event time and the time in microseconds."""
-    rows = stream_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = stream_table(spark, sf, "events", files_per_trigger).withColumn("ts", F.col("ts").cast("timestamp"))
     return rows.withColumns({"us": F.unix_micros("ts"), "k": F.get_json_object("props", "$.k").cast("bigint")})
 
 
@@ -28,6 +29,16 @@ def still(spark, sf):
     return rows.withColumn("us", F.unix_micros("ts"))
 
 
+#: files of a table that a trigger of a keyed stream reads
+FILES = 8
+
+
+def run_live(spark, sf, shape, key, step, schema, idle=None):
+    """A keyed step over the event stream, a bounded number of files at a time, none of their rows too late."""
+    late = replayed_lateness(table(spark, sf, "events"), "ts")
+    return k.run_keyed(shape(live(spark, sf, FILES)), [key], ["us", "event_id"], step, schema, late, idle=idle)
+
+
 @query("str_1_rule_stream", f"WITH {FRAMES}, {RULE_TABLE} SELECT event_id, rule, CAST(priority AS INT) AS priority, CAST(score AS DOUBLE) AS score FROM hits")
 def _(spark, sf):
     seen = live(spark, sf).select("event_id", *frame_columns())
@@ -37,8 +48,8 @@ def _(spark, sf):
 @query("str_2_zscore_stream", f"WITH {ZSCORE} SELECT event_id, round(z, 6) AS z, z > 3 AS is_anomaly FROM z")
 def _(spark, sf):
     step = s.zscore_step("value", ["event_id"])
-    rows = live(spark, sf).select("user_id", "event_id", "us", "value")
-    out = s.run_keyed(rows, ["user_id"], ["us", "event_id"], step, "event_id bigint, z double, is_anomaly boolean")
+    rows = lambda df: df.select("user_id", "event_id", "us", "value")
+    out = run_live(spark, sf, rows, "user_id", step, "event_id bigint, z double, is_anomaly boolean")
     return out.withColumn("z", r6("z"))
 
 
@@ -65,10 +76,10 @@ def _(spark, sf):
 
 @query("str_3_cooldown_stream", COOLDOWN)
 def _(spark, sf):
-    seen = live(spark, sf).select("event_id", "user_id", "us", *frame_columns())
-    hits = f.rule_events(seen).select("user_id", "event_id", "us", "rule", cooldown_column().alias("wait"))
+    seen = lambda df: df.select("event_id", "user_id", "us", *frame_columns())
+    hits = lambda df: f.rule_events(seen(df)).select("user_id", "event_id", "us", "rule", cooldown_column().alias("wait"))
     step = s.cooldown_step("us", "wait", list(KEEP), part="rule")
-    return s.run_keyed(hits, ["user_id"], ["us", "event_id"], step, "event_id bigint, rule string")
+    return run_live(spark, sf, hits, "user_id", step, "event_id bigint, rule string")
 
 
 MAX_BYTES, MAX_AGE = 300_000, 86_400_000_000
@@ -101,7 +112,7 @@ def _(spark, sf):
 def _(spark, sf):
     step = s.rotation_step("us", "size", "bad", list(FRAME), MAX_BYTES, MAX_AGE)
     schema = "user_id bigint, event_id bigint, " + s.ROTATION
-    return s.run_keyed(sized(live(spark, sf)), ["user_id"], ["us", "event_id"], step, schema)
+    return run_live(spark, sf, sized, "user_id", step, schema)
 
 
 @query("str_5_hourly_rollup", f"""WITH {v.TELEMETRY}, {v.USAGE}
@@ -164,7 +175,7 @@ SELECT o.event_id, b.flushed AS flushed_at, b.why AS reason FROM o JOIN b ON b.e
 def _(spark, sf):
     # the last queue of an endpoint stays open until a later request settles it
     step = s.batching_step("us", ["event_id", "us"], MAX_BATCH, TIMEOUT)
-    out = s.run_keyed(arrivals(live(spark, sf)), ["endpoint"], ["us", "event_id"], step, "event_id bigint, us bigint, " + s.BATCHING)
+    out = run_live(spark, sf, arrivals, "endpoint", step, "event_id bigint, us bigint, " + s.BATCHING)
     return out.select("event_id", "flushed_at", "reason")
 
 
@@ -211,7 +222,7 @@ def _(spark, sf):
 def _(spark, sf):
     step = s.rate_limit_step("us", "free", ["event_id"], LIMIT, SPAN)
     # a window after its last request a client's memory is empty
-    return s.run_keyed(clients(live(spark, sf)), ["user_id"], ["us", "event_id"], step, "event_id bigint, accepted boolean", idle=SPAN)
+    return run_live(spark, sf, clients, "user_id", step, "event_id bigint, accepted boolean", idle=SPAN)
 
 
 HEALTH = f"""WITH {STREAKS}, h AS (SELECT event_id, streak, CASE WHEN ok AND value < 50 THEN 'healthy' WHEN ok THEN 'degraded' WHEN streak >= 3 THEN 'unhealthy' ELSE 'degraded' END AS health,
@@ -236,8 +247,8 @@ def _(spark, sf):
 @query("str_9_health_stream", f"{HEALTH} SELECT event_id, CAST(streak AS BIGINT) AS streak, health FROM h")
 def _(spark, sf):
     step = s.health_step("ok", "value", ["event_id"], 3, 50.0)
-    rows = checks(live(spark, sf)).select("user_id", "event_id", "us", "ok", "value")
-    return s.run_keyed(rows, ["user_id"], ["us", "event_id"], step, "event_id bigint, streak bigint, health string")
+    rows = lambda df: checks(df).select("user_id", "event_id", "us", "ok", "value")
+    return run_live(spark, sf, rows, "user_id", step, "event_id bigint, streak bigint, health string")
 
 
 def rollout(df):
@@ -261,7 +272,7 @@ def _(spark, sf):
 
 @query("str_10_rollout_stream")
 def _(spark, sf):
-    return s.run_keyed(rollout(live(spark, sf)), ["deployment"], ["us", "event_id"], rollout_step(), ROLLOUT_SCHEMA)
+    return run_live(spark, sf, rollout, "deployment", rollout_step(), ROLLOUT_SCHEMA)
 
 
 @query("str_11_drain", "SELECT event_id, user_id, value, true AS flushed FROM events")
@@ -287,10 +298,11 @@ def _(spark, sf):
     points = t.ratio_of(rates(spark, sf), ["bucket"], F.col("event_type") == "error", "rate")
     path = new_path(spark, "points")
     points.select("bucket", "step", F.coalesce(F.col("ratio") > 0.05, F.lit(False)).alias("on")).write.parquet(path)
-    stream = spark.readStream.schema("bucket bigint, step bigint, on boolean").parquet(path)
+    stream = spark.readStream.schema("bucket bigint, step bigint, on boolean").option("maxFilesPerTrigger", FILES).parquet(path)
     step = s.alert_step("on", "step", ["bucket", "step"], 7200)
     schema = "bucket bigint, step bigint, active_since bigint, state string"
-    return s.run_keyed(stream, ["bucket"], ["step"], step, schema, time=F.timestamp_seconds("step"))
+    time = F.timestamp_seconds("step")
+    return k.run_keyed(stream, ["bucket"], ["step"], step, schema, replayed_lateness(spark.read.parquet(path), time), time)
 
 
 LINES = """raw AS (SELECT user_id, event_id, CASE WHEN event_type IN ('view', 'click') AND row_number() OVER (PARTITION BY user_id ORDER BY event_id) > 1 THEN '    at ' || event_type || ' ' || event_id
@@ -319,12 +331,11 @@ SELECT user_id, digest FROM c WHERE m < top""")
 def _(spark, sf):
     path = new_path(spark, "lines")
     raw_lines(spark, sf).write.parquet(path)
-    stream = spark.readStream.schema("user_id bigint, event_id bigint, line string").parquet(path)
+    stream = spark.readStream.schema("user_id bigint, event_id bigint, line string").option("maxFilesPerTrigger", FILES).parquet(path)
     # lines are numbered from 0, not timed: the number takes the place of microseconds
-    out = s.run_keyed(
-        stream, ["user_id"], ["event_id"], s.stitch_step("line", ["user_id"]), "user_id bigint, message string",
-        time=F.timestamp_micros(F.col("event_id") + 1),
-    )
+    time, step = F.timestamp_micros(F.col("event_id") + 1), s.stitch_step("line", ["user_id"])
+    late = replayed_lateness(spark.read.parquet(path), time)
+    out = k.run_keyed(stream, ["user_id"], ["event_id"], step, "user_id bigint, message string", late, time, grid=100_000)
     return out.select("user_id", F.md5("message").alias("digest"))
 
 

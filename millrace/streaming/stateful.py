@@ -1,95 +1,23 @@
 """Keyed state functions and their batch forms.
 
 The step functions hold the whole rule; the batch form feeds them sorted rows,
-the stream form feeds them the rows that the watermark has passed, sorted, and
-keeps the state in between. In batch a key is first cut wherever the state is
+the stream form (``streaming/keyed.py``) feeds them the rows that the watermark
+has passed, sorted, and keeps the state in between. In batch a key is first cut wherever the state is
 known to start over, so that a busy key becomes many independent segments.
 """
 
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.plans.ordered import Ordered
-from millrace.plans.sequential import Ranges, fold_sorted, segments_by_gap
-from millrace.session import new_path
-from millrace.streaming.jobs import run_available, with_end
-
-# step(memory, rows, ranges): rows of one or more keys in order, memory of the first range's key
-Step = Callable[[dict, pd.DataFrame, Ranges], pd.DataFrame]
-
-
-def keyed_stream(
-    stream: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, schema: str, late: str = "1 hour",
-    time: Column | None = None, idle: int | None = None, end: str | None = None,
-) -> DataFrame:
-    """Apply ``step`` per key to its rows in event-time order, however the batches are cut.
-
-    ``time`` is the event time; without it, the first column of ``order`` in
-    microseconds. Rows wait in the state of their key until the watermark,
-    ``late`` behind the latest row, has passed them, and are then stepped in
-    ``order``. Rows older than the watermark when they come are dropped; the
-    first watermark is 1970-01-01, so event times lie behind that. With
-    ``idle`` (microseconds), a key whose last row is that far behind the
-    watermark is forgotten; the step must not need its memory any longer by
-    then. ``end`` is the folder of ``with_end``. Rows and memory are kept as
-    JSON, so ``stream`` should hold only columns that the step reads, none of them a time.
-    """
-    import json
-
-    moment = F.timestamp_micros(F.col(order[0])) if time is None else time
-    timed = stream.withColumn("_time", moment)
-    if end:
-        timed = with_end(timed, "_time", end)
-    else:
-        timed = timed.withColumn("_end", F.lit(False))
-    timed = timed.withColumn("_us", F.unix_micros("_time")).withWatermark("_time", late)
-
-    def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = json.loads(state.get[0]) if state.exists else {"memory": None, "waiting": None, "last": 0}
-        parts = [pd.DataFrame(kept["waiting"])] if kept["waiting"] else []
-        for frame in frames:
-            rows = frame[~frame["_end"].fillna(False).astype(bool)].drop(columns=["_time", "_end"])
-            parts += [rows] if len(rows) else []
-        passed = state.getCurrentWatermarkMs() * 1000
-        if not parts:
-            if state.exists:
-                # nothing came and nothing waits: the key has been idle
-                state.remove()
-            return
-        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        rows = rows.sort_values(list(order), kind="stable", ignore_index=True)
-        due = rows["_us"] <= passed
-        ready, waiting = rows[due].reset_index(drop=True), rows[~due]
-        if len(ready):
-            memory = kept["memory"] or {}
-            yield step(memory, ready.drop(columns="_us"), [(0, len(ready), kept["memory"] is None)])
-            kept["memory"], kept["last"] = memory, int(ready["_us"].max())
-        kept["waiting"] = waiting.to_dict("list") if len(waiting) else None
-        state.update((json.dumps(kept),))
-        if len(waiting):
-            state.setTimeoutTimestamp(-(-int(waiting["_us"].min()) // 1000))
-        elif idle is not None:
-            state.setTimeoutTimestamp(max(-(-(kept["last"] + idle) // 1000), passed // 1000 + 1))
-
-    return timed.groupBy(*keys).applyInPandasWithState(run, schema, "memory string", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def run_keyed(
-    stream: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, schema: str, late: str = "1 hour",
-    time: Column | None = None, idle: int | None = None,
-) -> DataFrame:
-    """The table that ``keyed_stream`` gives over all available input, which ends with it."""
-    end = new_path(stream.sparkSession, "end")
-    return run_available(keyed_stream(stream, keys, order, step, schema, late, time, idle, end), end=end)
-
+from millrace.plans.sequential import Ranges, Step, fold_sorted, segments_by_gap
 
 # -- rolling z-score -------------------------------------------------------------------
 
