@@ -1,5 +1,7 @@
 """Streaming queries: bounded runs over the event table, and their batch forms."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from millrace.catalog import views as v
@@ -14,6 +16,7 @@ from millrace.plans.quantiles import exact_quantiles
 from millrace.plans.sequential import fold_sorted
 from millrace.session import new_path
 from millrace.streaming import keyed as k
+from millrace.streaming import ledger, polling, uploads
 from millrace.streaming import stateful as s
 from millrace.streaming.jobs import replayed_lateness, run_available, stream_table, with_end
 
@@ -33,10 +36,10 @@ def still(spark, sf):
 FILES = 8
 
 
-def run_live(spark, sf, shape, key, step, schema, idle=None):
+def run_live(spark, sf, shape, key, step, schema, idle=None, tick=None):
     """A keyed step over the event stream, a bounded number of files at a time, none of their rows too late."""
     late = replayed_lateness(table(spark, sf, "events"), "ts")
-    return k.run_keyed(shape(live(spark, sf, FILES)), [key], ["us", "event_id"], step, schema, late, idle=idle)
+    return k.run_keyed(shape(live(spark, sf, FILES)), [key], ["us", "event_id"], step, schema, late, idle=idle, tick=tick)
 
 
 @query("str_1_rule_stream", f"WITH {FRAMES}, {RULE_TABLE} SELECT event_id, rule, CAST(priority AS INT) AS priority, CAST(score AS DOUBLE) AS score FROM hits")
@@ -275,21 +278,43 @@ def _(spark, sf):
     return run_live(spark, sf, rollout, "deployment", rollout_step(), ROLLOUT_SCHEMA)
 
 
-@query("str_11_drain", "SELECT event_id, user_id, value, true AS flushed FROM events")
+@query("str_11_drain", """
+WITH rows AS (SELECT event_id, user_id, value, ts, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS batch FROM events),
+placed AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY ts, event_id) - 1 AS n FROM rows)
+SELECT event_id, user_id, value, CAST(batch AS BIGINT) AS batch, n // 1000 AS drain, n % 1000 AS place FROM placed""")
 def _(spark, sf):
-    rows = live(spark, sf).select("event_id", "user_id", "value")
-    return run_available(rows, transform=lambda df: df.withColumn("flushed", F.lit(True)))
-
-
-@query("str_12_sync_poll", f"""WITH {v.LISTING} SELECT a.key, 'copy' AS action FROM listing_a a WHERE NOT EXISTS (SELECT 1 FROM listing_b b WHERE b.key = a.key)""")
+    """All events are buffered in two steps and drained after each; a third drain finds nothing."""
+    buffer, target = new_path(spark, "buffer"), new_path(spark, "drained")
+    rows = table(spark, sf, "events").select("event_id", "user_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    runs = []
+    for step in (rows.where("event_id % 3 <> 0"), rows.where("event_id % 3 = 0"), None):
+        if step is not None:
+            step.write.mode("append").parquet(buffer)
+        runs.append(ledger.drain(spark.readStream.schema(rows.schema).parquet(buffer), ["ts", "event_id"], target))
+    return reduce(lambda a, b: a.unionByName(b), runs).drop("ts")
+
+
+@query("str_12_sync_poll", """
+WITH e AS (
+  SELECT 'a' AS region, source || '/' || doc_id AS key, CASE WHEN doc_id % 5 = 0 THEN 2 ELSE 1 END AS poll FROM documents
+  UNION ALL SELECT 'b', CASE WHEN doc_id % 17 = 0 THEN 'extra/' || doc_id ELSE source || '/' || doc_id END, CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 1 END FROM documents
+  UNION ALL SELECT 'c', source || '/' || doc_id, 1 FROM documents WHERE doc_id % 2 = 0),
+first AS (SELECT key, min(poll) AS poll FROM e GROUP BY key),
+held AS (SELECT first.key, first.poll, list(DISTINCT region) AS regions, min(region) AS source FROM first JOIN e ON e.key = first.key AND e.poll <= first.poll GROUP BY 1, 2)
+SELECT poll, key, source, r.region, 'copy' AS action FROM held, (VALUES ('a'), ('b'), ('c')) r(region) WHERE NOT list_contains(regions, r.region)""")
 def _(spark, sf):
-    docs = stream_table(spark, sf, "documents").select("doc_id", "source")
-    key = F.concat_ws("/", "source", "doc_id")
-    here = docs.select(key.alias("key"), F.lit("a").alias("region"))
-    there = docs.where("doc_id % 17 <> 0").select(key.alias("key"), F.lit("b").alias("region"))
-    seen = run_available(here.unionByName(there))
-    per = seen.groupBy("key").agg(F.count_if(F.col("region") == "b").alias("n"))
-    return per.where("n = 0").select("key", F.lit("copy").alias("action"))
+    """Listings of three regions, some of whose entries come between two polls."""
+    a, b = v.listings(spark, sf)
+    d = F.regexp_extract("key", r"(\d+)$", 1).cast("bigint")
+    later = lambda df, n: df.select("key", F.when(d % n == 0, 2).otherwise(1).alias("poll"))
+    entries = later(a, 5).withColumn("region", F.lit("a")).unionByName(later(b, 7).withColumn("region", F.lit("b")))
+    entries = entries.unionByName(a.where(d % 2 == 0).select("key", F.lit(1).alias("poll"), F.lit("c").alias("region")))
+    listing, target, polls = new_path(spark, "listing"), new_path(spark, "polls"), []
+    for n in (1, 2):
+        entries.where(F.col("poll") == n).select("key", "region").write.mode("append").parquet(listing)
+        stream = spark.readStream.schema("key string, region string").parquet(listing)
+        polls.append(polling.poll(stream, ["a", "b", "c"], target).withColumn("poll", F.lit(n)))
+    return polls[0].unionByName(polls[1])
 
 
 @query("str_13_alert_stream", f"""WITH {ALERTS}
@@ -365,6 +390,32 @@ def upload_life(log, key, order, max_retries=10):
     return per.select(key, "retries", F.when(F.col("retries") >= max_retries, "STUCK").otherwise(F.col("last")).alias("state"), "uploads")
 
 
+RETRIES = """
+WITH o AS (SELECT user_id, event_id, event_type, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+c AS (SELECT *, count(*) FILTER (event_type = 'error') OVER (PARTITION BY user_id ORDER BY rn) AS bad, count(*) FILTER (event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY rn) AS up FROM o),
+s AS (SELECT user_id, up, min(us) AS since FROM c WHERE event_type = 'error' AND bad >= 10 GROUP BY 1, 2),
+e AS (SELECT user_id, up - 1 AS up, min(us) AS closed FROM c WHERE event_type = 'purchase' GROUP BY 1, 2),
+r AS (SELECT user_id, since, closed, CAST(unnest(range(0, 25)) AS INT) AS attempt FROM s LEFT JOIN e USING (user_id, up))
+SELECT user_id, since + attempt * 3600000000 AS us, CASE WHEN attempt = 0 THEN 'stuck' WHEN attempt < 24 THEN 'retry' ELSE 'given_up' END AS action, attempt
+FROM r WHERE attempt = 0 OR closed IS NULL OR since + attempt * 3600000000 < closed"""
+
+
+def upload_log(df):
+    e = F.col("event_type")
+    return df.select("user_id", "event_id", "us", F.when(e == "error", "ERROR").when(e == "purchase", "UPLOADED").otherwise("UPLOADING").alias("state"))
+
+
+@query("str_16_stuck_retries", RETRIES)
+def _(spark, sf):
+    return uploads.retries_batch(upload_log(still(spark, sf)), "user_id", "us", ["us", "event_id"], "state")
+
+
+@query("str_16_stuck_retries_stream", RETRIES)
+def _(spark, sf):
+    step, tick = uploads.retry_step("user_id", "us", "state"), uploads.retry_tick("user_id", "us")
+    return run_live(spark, sf, upload_log, "user_id", step, "user_id bigint, us bigint, " + uploads.ACTIONS, tick=tick)
+
+
 @query("str_16_upload_latency", f"""WITH {v.TELEMETRY}
 SELECT CAST(k % 4 AS INT) AS priority, count(*) AS uploads, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.99), 6) AS p99 FROM telemetry WHERE event_type = 'purchase' GROUP BY 1""")
 def _(spark, sf):

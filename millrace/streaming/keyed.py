@@ -8,7 +8,7 @@ whole backlog of a key.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
@@ -44,6 +44,10 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+# tick(memory, until): rows that time alone brings up to ``until``, and the time of the next ones
+Tick = Callable[[dict, int], tuple[pd.DataFrame, int | None]]
+
+
 class OrderedSteps(StatefulProcessor):
     """Steps the rows of a key in order as the watermark passes them.
 
@@ -53,8 +57,8 @@ class OrderedSteps(StatefulProcessor):
     chunks that overlap in time are in memory together.
     """
 
-    def __init__(self, step: Step, order: Sequence[str], columns: pa.Schema, idle: int | None, grid: int):
-        self.step, self.order, self.columns, self.idle, self.grid = step, list(order), columns, idle, grid
+    def __init__(self, step: Step, order: Sequence[str], columns: pa.Schema, idle: int | None, grid: int, tick: Tick | None = None):
+        self.step, self.order, self.columns, self.idle, self.grid, self.tick = step, list(order), columns, idle, grid, tick
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -119,7 +123,7 @@ class OrderedSteps(StatefulProcessor):
         index = self._index()
         due = sorted(c for c in index["chunks"] if c[0] <= passed)
         kept = json.loads(self.memory.get()[0]) if self.memory.exists() else None
-        if not due:
+        if not due and not (self.tick and kept):
             if self.idle is not None and not index["chunks"] and kept and kept["last"] + self.idle <= passed:
                 # nothing came and nothing waits: the key has been idle
                 self.memory.clear()
@@ -141,21 +145,29 @@ class OrderedSteps(StatefulProcessor):
                 new = False
                 if len(out):
                     yield out
-        if len(open_rows):
+        if open_rows is not None and len(open_rows):
             self._store(index, open_rows)
+        wake = None if self.idle is None else max(last + self.idle, passed + 1000)
+        if self.tick:
+            # all rows up to here have been stepped
+            out, wake = self.tick(memory, passed)
+            if len(out):
+                yield out
         self.memory.update((json.dumps({"memory": memory, "last": last}),))
-        self._wait(index, None if self.idle is None else max(last + self.idle, passed + 1000))
+        self._wait(index, wake)
 
-    def _wait(self, index: dict, idle: int | None = None) -> None:
+    def _wait(self, index: dict, wake: int | None = None) -> None:
+        """A timer for the first row that waits, and for the key's own time."""
         self.index.update((json.dumps(index),))
-        times = [c[0] for c in index["chunks"]] or ([] if idle is None else [idle])
-        if times:
-            self.handle.registerTimer(-(-min(times) // 1000))
+        first = min((c[0] for c in index["chunks"]), default=None)
+        for at in (first, wake if self.tick or first is None else None):
+            if at is not None:
+                self.handle.registerTimer(-(-at // 1000))
 
 
 def keyed_stream(
     stream: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, schema: str, late: str = "1 hour",
-    time: Column | None = None, idle: int | None = None, end: str | None = None, grid: int = 3_600_000_000,
+    time: Column | None = None, idle: int | None = None, end: str | None = None, grid: int = 3_600_000_000, tick: Tick | None = None,
 ) -> DataFrame:
     """Apply ``step`` per key to its rows in event-time order, however the batches are cut.
 
@@ -166,7 +178,9 @@ def keyed_stream(
     are dropped, and counted in the query's progress; the first watermark is 1970-01-01, so
     event times lie behind that. With ``idle`` (microseconds), a key whose last
     row is that far behind the watermark is forgotten; the step must not need
-    its memory any longer by then. ``end`` is the folder of ``with_end``.
+    its memory any longer by then; ``tick`` is used instead if rows arise from
+    time alone: it is called whenever the watermark passes the time it has
+    named, after all rows up to there. ``end`` is the folder of ``with_end``.
 
     A task holds at most ``SORTED`` new rows of a key, or the chunks that
     overlap in time: those of one step of ``grid`` microseconds, and one for
@@ -184,16 +198,16 @@ def keyed_stream(
         timed = timed.withColumn("row_end", F.lit(False))
     timed = timed.withColumn("row_us", F.unix_micros("row_time")).withWatermark("row_time", late)
     columns = StructType([f for f in timed.schema.fields if f.name not in ("row_time", "row_end")])
-    work = OrderedSteps(step, order, to_arrow_schema(columns), idle, grid)
+    work = OrderedSteps(step, order, to_arrow_schema(columns), idle, grid, tick)
     return timed.groupBy(*keys).transformWithStateInPandas(work, schema, "append", "EventTime")
 
 
 def run_keyed(
     stream: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, schema: str, late: str = "1 hour",
-    time: Column | None = None, idle: int | None = None, grid: int = 3_600_000_000, progress: list | None = None,
+    time: Column | None = None, idle: int | None = None, grid: int = 3_600_000_000, progress: list | None = None, tick: Tick | None = None,
 ) -> DataFrame:
     """The table that ``keyed_stream`` gives over all available input, which ends with it."""
     spark = stream.sparkSession
     end = new_path(spark, "end")
     with rocksdb(spark):
-        return run_available(keyed_stream(stream, keys, order, step, schema, late, time, idle, end, grid), end=end, progress=progress)
+        return run_available(keyed_stream(stream, keys, order, step, schema, late, time, idle, end, grid, tick), end=end, progress=progress)
