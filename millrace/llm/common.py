@@ -46,12 +46,13 @@ def id_type(df: DataFrame, id_col: str) -> str:
 
 
 def per_text(
-    df: DataFrame, fields: dict[str, str], work: Callable[[], Callable[..., tuple]]
+    df: DataFrame, fields: dict[str, str], work: Callable[[], Callable[..., tuple]], size: int | None = None
 ) -> DataFrame:
     """Replace the last column by the fields that ``work()`` gives for each of its values.
 
     ``work`` is called once in each task, so it can hold buffers and models;
-    the columns before the last are passed on as they are.
+    the columns before the last are passed on as they are. With ``size``, at
+    most so many bytes of the last column are worked on at a time, or one value.
     """
     kept = df.schema.fields[:-1]
     schema = T.StructType([*kept, *T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in fields.items()))])
@@ -61,8 +62,8 @@ def per_text(
 
         out, each = to_arrow_schema(schema), work()
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
+            slices = (whole.slice(at, 1024) for at in range(0, whole.num_rows, 1024))
+            for batch in byte_slices(whole, len(kept), size=size) if size else slices:
                 made = list(zip(*map(each, batch.column(len(kept)).to_pylist())))
                 columns = [batch.column(i).cast(out.field(i).type) for i in range(len(kept))]
                 columns += [pa.array(c, out.field(len(kept) + i).type) for i, c in enumerate(made)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,25 +45,29 @@ class Encoder:
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str, special: str, most: int):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.whole, self.special, self.most = Tokenizer.from_file(vocabulary), special, most
+        self.vocabulary, self.whole, self.special, self.most = vocabulary, None, special, most
 
         def plain(text: str) -> bytes:
-            return np.array(fast.encode_ordinary(text), "<u4").tobytes()
+            ids = fast.encode_ordinary(text)
+            return struct.pack(f"<{len(ids)}I", *ids)
 
         class Known(dict):
-            """The ids of words, with the space before them."""
+            """The ids of words, with the space before them; words of the table before it are taken over when they come again."""
+
+            before: dict = {}
 
             def __missing__(self, word: str) -> bytes:
-                stem = word.rstrip(_TAIL)
-                if stem != word and stem[-1:].isalpha():
-                    ids = self[stem] + tails[word[len(stem) :]]
-                else:
-                    ids = plain(" " + word)
+                ids = self.before.get(word)
+                if ids is None:
+                    stem = word.rstrip(_TAIL)
+                    if stem != word and stem[-1:].isalpha():
+                        ids = self[stem] + tails[word[len(stem) :]]
+                    else:
+                        ids = plain(" " + word)
                 self[word] = ids
                 return ids
 
@@ -70,21 +75,27 @@ class Encoder:
             def __missing__(self, tail: str) -> bytes:
                 return self.setdefault(tail, plain(tail))
 
-        self.plain, self.known, tails = plain, Known(), Tails()
+        self.plain, self.known, self.fresh, tails = plain, Known(), Known, Tails()
 
     def __call__(self, text: str) -> bytes:
         if self.special in text:
+            if self.whole is None:
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.vocabulary)
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if "  " in text or " \n" in text or "\n " in text or any(c in text for c in _RARE):
             return self.plain(text)
         first, *words = text.split(" ")
         if len(self.known) > self.most:
-            self.known.clear()
+            # words that do not come again are forgotten with the table after the next
+            last, self.known = self.known, self.fresh()
+            last.before, self.known.before = {}, last
         return self.plain(first) + b"".join(map(self.known.__getitem__, words))
 
 
 @lru_cache(1)
-def encoder(vocabulary: str, ranks: str, pattern: str, special: str = "<|endoftext|>", most: int = 1_500_000) -> Encoder:
+def encoder(vocabulary: str, ranks: str, pattern: str, special: str = "<|endoftext|>", most: int = 250_000) -> Encoder:
     """One for all tasks of a Python worker."""
     return Encoder(vocabulary, ranks, pattern, special, most)
 
@@ -92,12 +103,13 @@ def encoder(vocabulary: str, ranks: str, pattern: str, special: str = "<|endofte
 class Index:
     """BM25 postings of one shard's documents over token ids, with the statistics of the whole corpus."""
 
-    def __init__(self, units: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        terms, docs, counts, lengths = [], [], [], np.array([len(u) for u in units], float)
+    def __init__(self, units: list, idf: np.ndarray, mean_length: float):
+        """``units``: the ids of each document, or its distinct ids with their counts."""
+        terms, docs, counts, lengths = [], [], [], np.zeros(len(units))
         self.queries = []
         for i, unit in enumerate(units):
-            found, times = np.unique(unit, return_counts=True)
-            found = found.astype(np.int64)
+            found, times = unit if isinstance(unit, tuple) else np.unique(unit, return_counts=True)
+            found, lengths[i] = found.astype(np.int64), times.sum()
             self.queries.append(found)
             terms.append(found)
             docs.append(np.full(len(found), i))
@@ -156,20 +168,19 @@ def _ranked(scores: np.ndarray, unused: np.ndarray) -> Iterator[int]:
 @lru_cache(1)
 def _directions(size: int) -> np.ndarray:
     """A sign for each token id and number of the sketch."""
-    return np.random.default_rng(7).integers(0, 2, (size, SKETCH)) * 2.0 - 1.0
+    return (np.random.default_rng(7).integers(0, 2, (size, SKETCH)) * 2 - 1).astype(np.int8)
 
 
-def sketch(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
+def sketch(terms: np.ndarray, times: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
     """The BM25 weights of a document, projected to ``SKETCH`` whole numbers, so that near documents have near sketches.
 
     All sums are sums of whole numbers, which no order of adding changes: a
     task that is run again gives each document the same shard.
     """
-    terms, times = np.unique(ids, return_counts=True)
-    norm = K1 * (1 - B + B * len(ids) / max(mean_length, 1e-9))
+    norm = K1 * (1 - B + B * int(times.sum()) / max(mean_length, 1e-9))
     weights = np.rint(idf[terms].astype(float) * times * (K1 + 1) / (times + norm) * 256)
     size = np.sqrt(float(weights @ weights))
-    made = weights @ _directions(len(idf))[terms]
+    made = weights @ _directions(len(idf))[terms].astype(float)
     return np.rint(made / size * 1024) if size else made
 
 
@@ -215,9 +226,9 @@ class Tree:
 
 
 def _fill(
-    units: list[np.ndarray], lengths: np.ndarray, idf: np.ndarray, mean_length: float, window: int
+    units: list, lengths: np.ndarray, idf: np.ndarray, mean_length: float, window: int
 ) -> Iterator[list[tuple[int, int, int]]]:
-    """Windows as lists of (unit, start, length); ``units`` are all ids of the documents, ``lengths`` what is left of each.
+    """Windows as lists of (unit, start, length); ``units`` are all ids of the documents or their counts, ``lengths`` what is left of each.
 
     Each window starts with a seed, what is left of the last unit that was cut
     or else the first unused unit, and takes the unused neighbours of the seed
@@ -271,8 +282,23 @@ def _power_parts(pieces: list[tuple[int, int, int]], window: int) -> list[list[t
     return out
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in the least width that holds them, which stands in the first byte."""
+    most = int(values.max(initial=0))
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1)
+
+
 def tokenise(df: DataFrame, files: dict[str, str], id_col: str, text_col: str, window: int) -> DataFrame:
-    """(doc_id, tie, doc_tokens, crcs, width, ids): checksums of the full windows from the start, all ids."""
+    """(doc_id, tie, doc_tokens, crcs, rest, terms, times).
+
+    Checksums of the full windows from the start, the ids behind these, and
+    the distinct ids of the whole document with their counts.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     end = np.array([END], "<u4").tobytes()
@@ -285,12 +311,14 @@ def tokenise(df: DataFrame, files: dict[str, str], id_col: str, text_col: str, w
             full = len(ids) // 4 // window
             crcs = [zlib.crc32(ids[i * window * 4 : (i + 1) * window * 4]) for i in range(full)]
             whole = np.frombuffer(ids, "<u4")
-            packed = whole.astype("<u2") if whole.max(initial=0) < 1 << 16 else whole
-            return len(ids) // 4, crcs, packed.itemsize, packed.tobytes()
+            # half the width sorts in half the time
+            terms, times = np.unique(whole.astype("<u2") if whole.max() < 1 << 16 else whole, return_counts=True)
+            return len(whole), crcs, _packed(whole[full * window :]), _packed(terms), _packed(times)
 
         return each
 
-    return per_text(rows, {"doc_tokens": "bigint", "crcs": "array<bigint>", "width": "int", "ids": "binary"}, work)
+    fields = {"doc_tokens": "bigint", "crcs": "array<bigint>", "rest": "binary", "terms": "binary", "times": "binary"}
+    return per_text(rows, fields, work, size=1 << 20)
 
 
 def pack(
@@ -319,43 +347,39 @@ def pack(
     spark = df.sparkSession
     units = materialise(tokenise(df, files, id_col, text_col, window), "tokens")
 
-    def document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
+    def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for raw, width in zip(batch["ids"], batch["width"]):
-                ids = np.unique(np.frombuffer(raw, f"<u{width}"))
+            for raw in batch.column(0).to_pylist():
+                ids = _unpacked(raw)
                 if len(ids) and int(ids[-1]) >= len(counts):
                     counts = np.pad(counts, (0, int(ids[-1]) + 1 - len(counts)))
                 counts[ids] += 1
-                n, tokens = n + 1, tokens + len(raw) // width
         used = np.flatnonzero(counts)
-        yield pd.DataFrame({"term": [-2, -1, *used.tolist()], "n": [n, tokens, *counts[used].tolist()]})
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["term", "n"])
 
     # one row per token id of the vocabulary: its size bounds what the driver gets and sends
-    seen = units.select("ids", "width").mapInPandas(document_counts, "term bigint, n bigint")
+    seen = units.select("terms").mapInArrow(document_counts, "term bigint, n bigint")
     seen = seen.groupBy("term").agg(F.sum("n").alias("n")).toPandas().set_index("term")["n"]
-    n, tokens = int(seen.get(-2, 0)), int(seen.get(-1, 0))
-    counts = seen[seen.index >= 0]
-    idf = np.zeros(int(counts.index.max()) + 1 if len(counts) else 1, np.float32)
-    idf[counts.index.to_numpy(int)] = np.log(1 + (n - counts.to_numpy() + 0.5) / (counts.to_numpy() + 0.5))
+    n, tokens = units.agg(F.count(F.lit(1)), F.coalesce(F.sum("doc_tokens"), F.lit(0))).first()
+    idf = np.zeros(int(seen.index.max()) + 1 if len(seen) else 1, np.float32)
+    idf[seen.index.to_numpy(int)] = np.log(1 + (n - seen.to_numpy() + 0.5) / (seen.to_numpy() + 0.5))
     mean_length = tokens / max(1, n)
     told = spark.sparkContext.broadcast(idf)
 
     tree = _tree(units, told, mean_length, n, shard)
     grown = spark.sparkContext.broadcast(tree)
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    # only the counts go through Python here, the ids stay where they are
+    @F.pandas_udf("bigint")
+    def place(terms: pd.Series, times: pd.Series, marks: pd.Series) -> pd.Series:
         tree = grown.value
-        for batch in batches:
-            ids, widths, marks = (batch.column(c).to_pylist() for c in ("ids", "width", "mark"))
-            found = [
-                tree.shard(sketch(np.frombuffer(i, f"<u{w}"), told.value, mean_length), m) if tree.shards > 1 else 0
-                for i, w, m in zip(ids, widths, marks)
-            ]
-            at = batch.schema.get_field_index("mark")
-            yield batch.set_column(at, "shard", pa.array(found, pa.int64()))
+        if tree.shards <= 1:
+            return pd.Series(np.zeros(len(marks), np.int64))
+        sketched = (sketch(_unpacked(t), _unpacked(c), told.value, mean_length) for t, c in zip(terms, times))
+        return pd.Series([tree.shard(s, int(m)) for s, m in zip(sketched, marks)], dtype="int64")
 
-    marked = units.withColumn("mark", _mark())
-    placed = marked.mapInArrow(place, marked.withColumnRenamed("mark", "shard").schema)
+    placed = units.withColumn("shard", place("terms", "times", _mark()))
 
     schema = units.select(
         "doc_id", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("length"),
@@ -371,15 +395,15 @@ def pack(
             for j, crc in enumerate(crcs):
                 out.append((ids[i], j * window, window, int(crc), totals[i], first + number, 0))
                 number += 1
-        units = [np.frombuffer(raw, f"<u{width}") for raw, width in zip(rows["ids"], rows["width"])]
+        units = [(_unpacked(t), _unpacked(c)) for t, c in zip(rows["terms"], rows["times"])]
         heads = [len(crcs) * window for crcs in rows["crcs"]]
-        parts = [u[head:].astype("<u4") for u, head in zip(units, heads)]
+        parts = [_unpacked(raw) for raw in rows["rest"]]
         for pieces in _fill(units, np.array([len(p) for p in parts]), told.value, mean_length, window):
             whole = sum(n for _, _, n in pieces) == window
             for sequence in [pieces] if whole else _power_parts(pieces, window):
                 offset = 0
                 for unit, start, n in sequence:
-                    crc = zlib.crc32(parts[unit][start : start + n].tobytes())
+                    crc = zlib.crc32(parts[unit][start : start + n].astype("<u4").tobytes())
                     out.append((ids[unit], heads[unit] + start, n, crc, totals[unit], first + number, offset))
                     offset += n
                 number += 1
@@ -403,12 +427,12 @@ def _tree(units: DataFrame, told, mean_length: float, n: int, shard: int) -> Tre
 
     def work():
         def of(value):
-            return (sketch(np.frombuffer(value["ids"], f"<u{value['width']}"), told.value, mean_length).astype(int).tolist(),)
+            return (sketch(_unpacked(value["terms"]), _unpacked(value["times"]), told.value, mean_length).astype(int).tolist(),)
 
         return of
 
     some = units.where(F.pmod(F.xxhash64(_mark(), F.lit(1)), F.lit(each)) == 0)
-    rows = per_text(some.select("tie", F.struct("ids", "width").alias("value")), {"sketch": "array<int>"}, work)
+    rows = per_text(some.select("tie", F.struct("terms", "times").alias("value")), {"sketch": "array<int>"}, work)
     # in one order, as sums of the same rows give the same tree
     sample = sorted(rows.select("sketch").toArrow().column(0).to_pylist())
     return Tree(np.array(sample).reshape(-1, SKETCH), each, shard)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import narrow, per_text
+from millrace.llm.common import byte_slices, narrow, per_text
 from millrace.llm.ngrams import Distinct, char_grams, fit_logistic, sigmoid
 
 BITS = 18
@@ -117,8 +117,10 @@ def reject(df: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataF
 
     def run(batches):
         distinct = Distinct(BITS)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
-            yield batch.filter(pa.array([model.score(slots_of(t or b"", distinct)) < 0.5 for t in texts], pa.bool_()))
+        for whole in batches:
+            place = whole.schema.get_field_index(text_col)
+            for batch in byte_slices(whole, place, size=1 << 20):
+                texts = batch.column(place).cast(pa.binary()).to_pylist()
+                yield batch.filter(pa.array([model.score(slots_of(t or b"", distinct)) < 0.5 for t in texts], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
