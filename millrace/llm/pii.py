@@ -115,13 +115,19 @@ def _ssn(feistel: Feistel, found: str) -> str | None:
     return _refill(found, str(feistel.permute("ssn", 10**9, value, _ssn_ok)).zfill(9))
 
 
+# fixed values: calling codes of one and two digits; all others have three
+CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+_CODES = frozenset(CODES.split())
+
+
 def _phone(feistel: Feistel, found: str) -> str | None:
-    code = re.match(r"\+\d{1,3}(?=\D)", found)
-    head = code.group() if code else ""
-    digits = re.sub(r"\D", "", found[len(head) :])
-    if not 7 <= len(digits) + len(re.sub(r"\D", "", head)) <= 15 or len(digits) < 6:
+    """The digits behind the calling code permute, in whatever notation; a number without a code has that of North America."""
+    digits = re.sub(r"\D", "", found)
+    code = next((digits[:n] for n in (1, 2) if digits[:n] in _CODES), digits[:3]) if found[0] == "+" else ""
+    rest = digits[len(code) :]
+    if not 7 <= len(digits) <= 15 or len(rest) < 6:
         return None
-    return head + _refill(found[len(head) :], str(feistel.permute("phone" + head, 10 ** len(digits), int(digits))).zfill(len(digits)))
+    return _refill(found, code + str(feistel.permute(f"phone+{code or 1}", 10 ** len(rest), int(rest))).zfill(len(rest)))
 
 
 def _address(feistel: Feistel, found: str) -> str | None:
@@ -162,22 +168,29 @@ def _date(feistel: Feistel, found: str) -> str | None:
 
 
 def _mail(feistel: Feistel, found: str) -> str:
+    """Names that differ in case alone stay alike: the case is that of the letters found."""
     name, _, host = found.partition("@")
-    return f"{_letters(feistel, 'mail', name)}@{host}"
+    new = _letters(feistel, "mail", name.lower())
+    return "".join(n.upper() if c.isupper() else n for n, c in zip(new, name)) + "@" + host
 
 
-#: (kind, pattern, what becomes of a match: None if it is not valid)
+#: (kind, pattern, what becomes of a match: None if it is not valid); a value ends at anything but a letter, a digit or its own marks
 KINDS = [
-    ("mail", r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _mail),
-    ("date", r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)", _date),
-    ("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _address),
+    ("mail", r"(?<![A-Za-z0-9.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _mail),
+    ("date", r"(?<![A-Za-z0-9.-])(?:\d{4}-\d{2}-\d{2}(?!(?!T\d)[A-Za-z0-9]|-|\.\d)"
+             r"|(?<!/)(?:\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![A-Za-z0-9/-]|\.\d))", _date),
+    ("ip", r"(?<![A-Za-z0-9.])\d{1,3}(?:\.\d{1,3}){3}(?![A-Za-z0-9]|\.\d)", _address),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])", _iban),
-    ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
-    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
-    ("phone", r"(?<![\w+.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
-              r"|(?<![\w+.-])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])", _phone),
+    ("ssn", r"(?<![A-Za-z0-9-])\d{3}-\d{2}-\d{4}(?![A-Za-z0-9-])", _ssn),
+    ("card", r"(?<![A-Za-z0-9.-])\d(?:[ -]?\d){12,18}(?![A-Za-z0-9-])", _card),
+    ("phone", r"(?<![A-Za-z0-9+.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![A-Za-z0-9])"
+              r"|(?<![A-Za-z0-9+.-])\(\d{3}\) ?\d{3}[ .-]\d{4}(?![A-Za-z0-9])|(?<![A-Za-z0-9+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![A-Za-z0-9-])", _phone),
 ]
 _ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern, _ in KINDS), re.ASCII)
+_EACH = [(kind, re.compile(pattern, re.ASCII)) for kind, pattern, _ in KINDS]
+#: kinds written in groups, a part of which may be the whole value
+_GROUPED = {"iban": re.compile(" "), "card": re.compile("[ -]"), "phone": re.compile("[ .-]")}
+_GROUP = re.compile(r"[^A-Za-z0-9]*[A-Za-z0-9]+")
 _ACTIONS = {kind: action for kind, _, action in KINDS}
 _HINT = re.compile(r"[\d@]")
 
@@ -195,29 +208,32 @@ class Pseudonyms:
         n, out, at = 0, [], 0
         match = _ANY.search(text)
         while match:
+            start, end = match.span()
             new = self.of(match.lastgroup, match.group())
-            end = match.end()
-            if new is None and match.lastgroup in ("card", "iban"):
-                new, end = self._prefix(match)
-            out.append(text[at : match.start()])
-            out.append(text[match.start() : end] if new is None else new)
+            if new is None:
+                new, end = self._others(text, start)
+            out.append(text[at:start])
+            out.append(text[start:end] if new is None else new)
             n, at = n + (new is not None), end
             match = _ANY.search(text, end)
         return "".join(out) + text[at:], n
 
+    def _others(self, text: str, start: int) -> tuple[str | None, int]:
+        """What else begins where a match has failed: each kind in turn, whole or up to a mark between its groups, the longest first.
 
-    def _prefix(self, match: re.Match) -> tuple[str | None, int]:
-        """The longest part of a match up to a separator that passes the check, and where the search goes on.
-
-        Without one the search goes on behind the first group, as a later group may begin a number.
+        Without any the search goes on behind the first group, as a later one may begin a value.
         """
-        found, kind = match.group(), match.lastgroup
-        cuts = [m.start() for m in re.finditer("[ -]", found)]
-        for cut in reversed(cuts):
-            new = self.of(kind, found[:cut])
-            if new is not None:
-                return new, match.start() + cut
-        return None, match.start() + cuts[0] if cuts else match.end()
+        for kind, pattern in _EACH:
+            match = pattern.match(text, start)
+            if not match:
+                continue
+            found = match.group()
+            cuts = [m.start() for m in _GROUPED[kind].finditer(found)] if kind in _GROUPED else []
+            for cut in [len(found), *reversed(cuts)]:
+                new = self.of(kind, found[:cut]) if cut else None
+                if new is not None:
+                    return new, start + cut
+        return None, _GROUP.match(text, start).end()
 
 
 def pseudonymise(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,8 +244,12 @@ def pseudonymise(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     permutation keyed with ``key`` onto values of the same kind and format that
     pass the same check, so equal values stay equal in all documents and
     different ones stay different. What fails its check, such as a number of
-    16 digits with a wrong check digit, is left as it is; of several groups the
-    longest part from the first group that passes counts. The key is at most 64
+    16 digits with a wrong check digit, is left as it is; where one kind fails,
+    the others are tried at the same place, and of several groups the longest
+    part from the first group that passes counts. A value stands by itself:
+    one directly beside a letter or digit is part of a longer word and stays,
+    but for the T of a time behind a date. Equal phone numbers with and without
+    marks, and mail names in other case, get equal pseudonyms. The key is at most 64
     bytes. Whole texts are searched; a null text counts as empty, a null id
     stays null, repeated rows are returned repeated, other columns are not read.
     """
