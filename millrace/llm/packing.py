@@ -95,7 +95,7 @@ class Encoder:
 
 
 @lru_cache(1)
-def encoder(vocabulary: str, ranks: str, pattern: str, special: str = "<|endoftext|>", most: int = 250_000) -> Encoder:
+def encoder(vocabulary: str, ranks: str, pattern: str, special: str = "<|endoftext|>", most: int = 600_000) -> Encoder:
     """One for all tasks of a Python worker."""
     return Encoder(vocabulary, ranks, pattern, special, most)
 
@@ -109,7 +109,8 @@ class Index:
         self.queries = []
         for i, unit in enumerate(units):
             found, times = unit if isinstance(unit, tuple) else np.unique(unit, return_counts=True)
-            found, lengths[i] = found.astype(np.int64), times.sum()
+            found, times = found.astype(np.int64), times.astype(np.int64)
+            lengths[i] = times.sum()
             self.queries.append(found)
             terms.append(found)
             docs.append(np.full(len(found), i))
@@ -311,8 +312,7 @@ def tokenise(df: DataFrame, files: dict[str, str], id_col: str, text_col: str, w
             full = len(ids) // 4 // window
             crcs = [zlib.crc32(ids[i * window * 4 : (i + 1) * window * 4]) for i in range(full)]
             whole = np.frombuffer(ids, "<u4")
-            # half the width sorts in half the time
-            terms, times = np.unique(whole.astype("<u2") if whole.max() < 1 << 16 else whole, return_counts=True)
+            terms, times = np.unique(whole, return_counts=True)
             return len(whole), crcs, _packed(whole[full * window :]), _packed(terms), _packed(times)
 
         return each
