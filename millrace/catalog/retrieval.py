@@ -1,5 +1,6 @@
 """Chunking, vector and model-hook queries. Search queries are the mean vectors of the labels."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -98,17 +99,35 @@ def _(spark, sf):
     return ranked(spark, sf).withColumn("score", r6("score"))
 
 
+def neighbours(found):
+    """Five best rows beside the query itself."""
+    w = Window.partitionBy("query").orderBy("rank")
+    others = found.where("vec_id <> query").withColumn("rank", F.row_number().over(w))
+    return others.where("rank <= 5")
+
+
+def asked(spark, sf):
+    return table(spark, sf, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("v"))
+
+
+def near_rows(spark, sf):
+    index = r.CellIndex(table(spark, sf, "embeddings"), "vec_id", "embedding", 5)
+    return neighbours(index.search(asked(spark, sf), "query", "v", 6))
+
+
 @query("vec_2_cell_search")
 def _(spark, sf):
-    index = r.CellIndex(table(spark, sf, "embeddings"), "vec_id", "embedding")
-    return index.search(centres(spark, sf), "query", "v")
+    return near_rows(spark, sf).withColumn("score", r6("score"))
 
 
-@query("vec_2_recall")
+@query("vec_2_recall", """SELECT count(*) AS queries, 5 * count(*) AS pairs, true AS passed FROM embeddings WHERE vec_id % 20 = 0""")
 def _(spark, sf):
-    index = r.CellIndex(table(spark, sf, "embeddings"), "vec_id", "embedding")
-    near = index.search(centres(spark, sf), "query", "v", probe=8).select("query", "vec_id", F.lit(1).alias("found"))
-    return ranked(spark, sf).join(near, ["query", "vec_id"], "left").agg(F.avg(F.coalesce("found", F.lit(0))).alias("recall"))
+    # the very search of vec_2_cell_search against the exact one
+    exact = neighbours(r.tile_search(table(spark, sf, "embeddings"), asked(spark, sf), "vec_id", "embedding", "query", "v", 6))
+    near = near_rows(spark, sf).select("query", "vec_id", F.lit(1).alias("found"))
+    found = F.coalesce(F.avg(F.coalesce("found", F.lit(0))), F.lit(1.0))
+    both = exact.join(near, ["query", "vec_id"], "left")
+    return both.agg(F.countDistinct("query").alias("queries"), F.count(F.lit(1)).alias("pairs"), (found >= 0.9).alias("passed"))
 
 
 @query("vec_3_threshold", f"WITH {RANKED} SELECT CAST(query AS BIGINT) AS query, vec_id, round(score, 6) AS score FROM k WHERE rank <= 5 AND score >= 0.36")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import rag_prompt
 from millrace.functions.udfs import unit_rows
+from millrace.functions.values import normalise
+from millrace.session import materialise, new_path
 
 NO_CONTEXT = "No relevant information found."
 
@@ -40,11 +43,10 @@ def query_blocks(queries: DataFrame, key: str, block: int) -> Iterator[pd.DataFr
         last = head[key].iloc[-1].item() if hasattr(head[key].iloc[-1], "item") else head[key].iloc[-1]
 
 
-def _search_block(vectors, head, key, vector, query_key, query_vector, k, probes):
+def _search_block(vectors, head, key, vector, query_key, query_vector, k):
     """Each task scores its vectors against one block of queries and emits its own best k."""
     q = unit_rows(np.stack(head[query_vector].to_numpy()).astype("float64"))
     names = head[query_key].to_list()
-    allowed = [set(probes[n]) for n in names] if probes is not None else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = [np.empty(0, "int64")] * len(names)
@@ -55,11 +57,7 @@ def _search_block(vectors, head, key, vector, query_key, query_vector, k, probes
             scores = np.round(unit_rows(np.stack(b[vector].to_numpy()).astype("float64")) @ q.T, 12)
             own = b[key].to_numpy()
             for i in range(len(names)):
-                s, n = scores[:, i], own
-                if allowed is not None:
-                    mask = b["cell"].isin(allowed[i]).to_numpy()
-                    s, n = s[mask], n[mask]
-                s, n = np.concatenate([best[i], s]), np.concatenate([ids[i], n])
+                s, n = np.concatenate([best[i], scores[:, i]]), np.concatenate([ids[i], own])
                 take = _best(s, n, k)
                 best[i], ids[i] = s[take], n[take]
         for name, s, n in zip(names, best, ids):
@@ -67,14 +65,13 @@ def _search_block(vectors, head, key, vector, query_key, query_vector, k, probes
                 yield pd.DataFrame({query_key: [name] * len(n), key: n, "score": s})
 
     kinds = dict(vectors.dtypes)
-    columns = [key, vector] + (["cell"] if probes is not None else [])
     name_kind = "string" if head[query_key].dtype == object else "bigint"
-    return vectors.select(*columns).mapInPandas(run, f"{query_key} {name_kind}, {key} {kinds[key]}, score double")
+    return vectors.select(key, vector).mapInPandas(run, f"{query_key} {name_kind}, {key} {kinds[key]}, score double")
 
 
 def top_k(
     vectors: DataFrame, queries: DataFrame, key: str, vector: str, query_key: str, query_vector: str, k: int = 5,
-    block: int = 1024, probes: dict | None = None,
+    block: int = 1024,
 ) -> DataFrame:
     """Exact cosine top-k per query: (query, id, score, rank).
 
@@ -83,46 +80,168 @@ def top_k(
     """
     parts = None
     for head in query_blocks(queries.select(query_key, query_vector), query_key, block):
-        found = _search_block(vectors, head, key, vector, query_key, query_vector, k, probes)
+        found = _search_block(vectors, head, key, vector, query_key, query_vector, k)
         parts = found if parts is None else parts.unionByName(found)
     w = Window.partitionBy(query_key).orderBy(F.desc("score"), key)
     return parts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-class CellIndex:
-    """Coarse cells by k-means; a search ranks only the vectors of the nearest cells."""
+def tile_search(
+    vectors: DataFrame, queries: DataFrame, key: str, vector: str, query_key: str, query_vector: str, k: int = 5,
+    cell: str | None = None, piece_rows: int = 4096, block_rows: int = 8192,
+) -> DataFrame:
+    """Cosine top-k of many queries against the vectors of the same ``cell``: (query, id, score, rank).
+
+    Without ``cell`` every query meets every vector. The vectors of a cell are
+    dealt to pieces and its queries to blocks; a task scores one piece against
+    one block by a matrix product and returns its best k. So neither a large
+    cell nor one that many queries ask for is work of one task, and nothing
+    passes the driver. Only the counts per cell are broadcast. Rows without a
+    vector or an id are left out; equal scores go by the lower id.
+    """
+    place = F.lit(0) if cell is None else F.col(cell)
+    rows = vectors.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).select(
+        place.alias("_cell"), F.col(key).alias("_id"), F.col(vector).alias("_v")
+    )
+    asked = queries.where(F.col(query_vector).isNotNull()).select(
+        place.alias("_cell"), F.col(query_key).alias("_query"), F.col(query_vector).alias("_q")
+    )
+    parts = lambda df, size, name: df.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+    tiles = parts(rows, piece_rows, "_pieces").join(parts(asked, block_rows, "_blocks"), "_cell").where("_pieces >= 1 AND _blocks >= 1")
+    tiles = materialise(tiles, "tiles")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    deal = lambda n, *of: F.pmod(F.xxhash64(*of), F.col(n)).cast("int")
+    left = rows.join(F.broadcast(tiles), "_cell").select(
+        "_cell", deal("_pieces", "_id", "_v").alias("_piece"), every("_blocks").alias("_block"), "_id", "_v"
+    )
+    right = asked.join(F.broadcast(tiles), "_cell").select(
+        "_cell", every("_pieces").alias("_piece"), deal("_blocks", "_query", "_q").alias("_block"), "_query", "_q"
+    )
 
-    def __init__(self, vectors: DataFrame, key: str, vector: str, cells: int = 16, seed: int = 42):
-        from pyspark.ml.clustering import KMeans
-        from pyspark.ml.functions import array_to_vector
-        from pyspark.sql.types import ArrayType, DoubleType
+    def score(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(own) and len(ask):
+            v, ids = unit_rows(np.stack(own["_v"].to_numpy()).astype("float64")), own["_id"].to_numpy()
+            for at in range(0, len(ask), 512):
+                some = ask.iloc[at : at + 512]
+                scores = np.round(unit_rows(np.stack(some["_q"].to_numpy()).astype("float64")) @ v.T, 12)
+                for name, line in zip(some["_query"], scores):
+                    take = _best(line, ids, k)
+                    found.append(pd.DataFrame({query_key: [name] * len(take), key: ids[take], "score": line[take]}))
+        return pd.concat(found) if found else pd.DataFrame({query_key: [], key: [], "score": []})
+
+    names = ["_cell", "_piece", "_block"]
+    kinds = dict(left.dtypes) | dict(right.dtypes)
+    best = left.groupBy(*names).cogroup(right.groupBy(*names)).applyInPandas(
+        score, f"`{query_key}` {kinds['_query']}, `{key}` {kinds['_id']}, score double"
+    )
+    w = Window.partitionBy(query_key).orderBy(F.desc("score"), key)
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _nearest_cells(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Cells of each vector, nearest first."""
+    return np.argsort(-(unit_rows(vectors.astype("float64")) @ centres.T), axis=1, kind="stable")
 
-        from millrace.functions.values import normalise
-        from millrace.session import new_path
 
-        self.key, self.vector = key, vector
-        ready = vectors.withColumn("_f", array_to_vector(normalise(F.col(vector)).cast(ArrayType(DoubleType()))))
-        model = KMeans(k=cells, seed=seed, featuresCol="_f", predictionCol="cell", maxIter=10).fit(ready)
-        self.centres = unit_rows(np.stack(model.clusterCenters()))
-        path = new_path(vectors.sparkSession, "cells")
+class CellIndex:
+    """Cells by k-means; a search ranks only the vectors of the cells nearest to a query.
+
+    The number of cells is the square root of the number of vectors, at most
+    ``max_cells``; centres are fitted on about ``fit_per_cell`` rows for each,
+    and every row is indexed. ``probe``, the number of cells a search looks
+    at, is measured while the index is built: ``trial_queries`` rows are
+    searched exactly, and the fewest cells that hold the share ``recall`` of
+    their ``k`` neighbours (themselves left out) are taken. So recall holds for
+    queries distributed like the vectors, at any size; others may need more cells.
+    Only centres and trial rows are held by the driver, both of bounded size.
+
+    Of equal vectors the ``k + 1`` lowest keys are kept, the only ones that a
+    search for k neighbours, or k beside the query itself, can return. Rows
+    without a vector or a key are not indexed; an empty table gives an empty index.
+    """
+
+    def __init__(
+        self, vectors: DataFrame, key: str, vector: str, k: int = 5, recall: float = 0.97, max_cells: int = 4096,
+        fit_per_cell: int = 64, trial_queries: int = 512, seed: int = 42,
+    ):
+        self.key, self.vector, self.k = key, vector, k
+        spark = vectors.sparkSession
+        first = Window.partitionBy("_v").orderBy("_id")
+        rows = vectors.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col(vector).alias("_v"))
+        rows = rows.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= k + 1).drop("_nth")
+        rows = materialise(rows, "vectors")
+        count = rows.count()
+        self.cells = min(max_cells, max(1, math.isqrt(count)))
+        self.centres = self._fit(rows, min(1.0, self.cells * fit_per_cell / max(count, 1)), seed)
+        path = new_path(spark, "cells")
+        placed = self._near(rows, "_v", 1).withColumnsRenamed({"_id": key, "_v": vector})
         # range partitioned on (cell, key): a large cell becomes several files
-        placed = model.transform(ready).select(key, vector, "cell")
         placed.repartitionByRange("cell", key).write.partitionBy("cell").parquet(path)
-        self.table = vectors.sparkSession.read.parquet(path)
-
-    def search(self, queries: DataFrame, query_key: str, query_vector: str, k: int = 5, probe: int = 4) -> DataFrame:
-        out = None
-        for head in query_blocks(queries.select(query_key, query_vector), query_key, 1024):
-            q = unit_rows(np.stack(head[query_vector].to_numpy()).astype("float64"))
-            near = np.argsort(-(q @ self.centres.T), axis=1)[:, :probe]
-            probes = {n: row.tolist() for n, row in zip(head[query_key], near)}
-            wanted = sorted({c for row in probes.values() for c in row})
-            part = _search_block(
-                self.table.where(F.col("cell").isin(wanted)), head, self.key, self.vector, query_key, query_vector, k, probes
-            )
-            out = part if out is None else out.unionByName(part)
-        w = Window.partitionBy(query_key).orderBy(F.desc("score"), self.key)
-        return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        self.table = spark.read.schema(placed.schema).parquet(path)
+        self.probe = self._measure(recall, trial_queries, seed)
+
+    def _fit(self, rows: DataFrame, share: float, seed: int) -> np.ndarray:
+        from pyspark.ml.clustering import KMeans
+        from pyspark.ml.functions import array_to_vector
+
+        ready = rows if share >= 1 else rows.sample(share, seed)
+        # a written table, as a sample is drawn again in every round of the fit; points once,
+        # since the fit needs several different ones for each centre
+        points = materialise(ready.select(normalise(F.col("_v")).alias("_f")).distinct(), "sample")
+        self.cells = max(1, min(self.cells, points.count() // 4))
+        if self.cells == 1:
+            return np.zeros((1, 1))
+        kmeans = KMeans(k=self.cells, seed=seed, featuresCol="_f", maxIter=10, initSteps=5)
+        model = kmeans.fit(points.select(array_to_vector("_f").alias("_f")))
+        centres = unit_rows(np.stack(model.clusterCenters()))
+        self.cells = len(centres)
+        return centres
+
+    def _near(self, rows: DataFrame, vector: str, probe: int) -> DataFrame:
+        """One row for each of the ``probe`` cells nearest to a row's vector."""
+        centres = self.centres
+        if self.cells == 1:
+            return rows.withColumn("cell", F.lit(0))
+
+        @F.pandas_udf("array<int>")
+        def near(column: pd.Series) -> pd.Series:
+            found = []
+            for at in range(0, len(column), 512):
+                some = column.iloc[at : at + 512]
+                found += _nearest_cells(np.stack(some.to_numpy()), centres)[:, :probe].astype("int32").tolist()
+            return pd.Series(found, dtype=object)
+
+        return rows.withColumn("cell", F.explode(near(F.col(vector))))
+
+    def _measure(self, recall: float, trials: int, seed: int) -> int:
+        """Fewest cells that hold the share ``recall`` of the neighbours of the trial rows."""
+        if self.cells == 1:
+            return 1
+        drawn = F.xxhash64(F.lit(seed), self.key, self.vector)
+        asked = self.table.select(F.col(self.key).alias("_query"), F.col(self.vector).alias("_q")).orderBy(drawn, "_query").limit(trials)
+        asked = materialise(asked, "trial")
+        found = tile_search(self.table, asked, self.key, self.vector, "_query", "_q", self.k + 1)
+        found = found.where(~F.col(self.key).eqNullSafe(F.col("_query")))
+        w = Window.partitionBy("_query").orderBy("rank")
+        found = found.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= self.k)
+        cells = found.select("_query", F.col(self.key)).join(self.table.select(self.key, "cell"), self.key)
+        cells = cells.groupBy("_query").agg(F.collect_list("cell").alias("cells")).join(asked, "_query").toPandas()
+        if cells.empty:
+            return 1
+        order = _nearest_cells(np.stack(cells["_q"].to_numpy()), self.centres)
+        at = np.argsort(order, axis=1)
+        ranks = np.sort(np.concatenate([at[i, list(held)] for i, held in enumerate(cells["cells"])]))
+        return int(ranks[min(len(ranks), math.ceil(recall * len(ranks))) - 1]) + 1
+
+    def search(self, queries: DataFrame, query_key: str, query_vector: str, k: int | None = None, probe: int | None = None) -> DataFrame:
+        """Top ``k`` of the ``probe`` nearest cells: (query, id, score, rank), ranked exactly inside."""
+        k = self.k if k is None else k
+        if k > self.k + 1:
+            raise ValueError(f"the index was built for {self.k} neighbours")
+        asked = queries.where(F.col(query_vector).isNotNull()).select(query_key, query_vector)
+        asked = materialise(self._near(asked, query_vector, min(probe or self.probe, self.cells)), "asked")
+        return tile_search(self.table, asked, self.key, self.vector, query_key, query_vector, k, "cell")
 
 
 def pack_context(hits: DataFrame, query_key: str, text: str, limit: int = 2048) -> DataFrame:

@@ -8,7 +8,7 @@ from __spark_entry__ import oracle_sql, queries
 from tests.compare import compare, duck
 
 SMALL = os.environ.get("TEST_SMALL_SF_DIR", "/root/testdata/sf0.001")
-SLOW = {"ml_1_train", "ml_2_cross_validate", "ml_5_select_best", "vec_2_recall"}
+SLOW = {"ml_1_train", "ml_2_cross_validate", "ml_5_select_best"}
 # no row of the small tables meets these conditions
 MAY_BE_EMPTY = {"win_2_channel_events", "vec_3_threshold", "str_10_rollout", "str_10_rollout_stream"}
 
