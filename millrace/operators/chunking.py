@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,15 +49,19 @@ def sentence_aware_chunks(text: str, size: int = 512, overlap: int = 50) -> Iter
             start = end
 
 
-def fixed_chunks(docs: DataFrame, key: str, text: str, size: int = 512, overlap: int = 50) -> DataFrame:
-    kind = dict(docs.dtypes)[key]
+def fixed_chunks(docs: DataFrame, key: str, text: str, size: int = 512, overlap: int = 50, keep: Sequence[str] = ()) -> DataFrame:
+    """Chunks of about ``size`` characters that end with a sentence; ``keep`` names columns that go with each chunk."""
+    own = [key, *keep]
+    kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, *c) for k, t in zip(b[key], b[text]) if t for c in sentence_aware_chunks(t, size, overlap)]
-            yield pd.DataFrame(rows, columns=[key, "chunk_id", "text", "start_idx", "end_idx"])
+            held = zip(b[text], *[b[c] for c in own])
+            rows = [(*k, *c) for t, *k in held if t for c in sentence_aware_chunks(t, size, overlap)]
+            yield pd.DataFrame(rows, columns=[*own, "chunk_id", "text", "start_idx", "end_idx"])
 
-    return spread(docs.select(key, text), key).mapInPandas(run, f"{key} {kind}, chunk_id int, text string, start_idx int, end_idx int")
+    columns = ", ".join(f"`{c}` {kinds[c]}" for c in own)
+    return spread(docs.select(*own, text), key).mapInPandas(run, f"{columns}, chunk_id int, text string, start_idx int, end_idx int")
 
 
 def register_chunk_function(spark: SparkSession, name: str = "sentence_chunks") -> None:
@@ -127,11 +131,9 @@ def word_chunks(docs: DataFrame, key: str, text: str, size: int = 512, overlap:
 
 def corpus_chunks(docs: DataFrame, key: str, text: str, embed, metadata: Column) -> DataFrame:
     """Chunks with id ``{doc}_chunk_{n}``, vector and the document's metadata; empty texts are skipped."""
-    full = docs.where(F.length(text) > 0)
-    chunks = fixed_chunks(full, key, text)
-    meta = full.select(key, metadata.alias("metadata"))
-    out = chunks.join(meta, key)
-    return out.select(
+    # the metadata goes with the chunk, so that rows of one id keep to their own
+    full = docs.where(F.length(text) > 0).select(F.col(key), F.col(text), metadata.alias("_meta"))
+    return fixed_chunks(full, key, text, keep=["_meta"]).select(
         F.concat(F.col(key).cast("string"), F.lit("_chunk_"), "chunk_id").alias("id"), key, "text",
-        embed(F.col("text")).alias("embedding"), "metadata",
+        embed(F.col("text")).alias("embedding"), F.col("_meta").alias("metadata"),
     )

@@ -83,3 +83,10 @@ def test_small_tables(spark):
     assert same.search(asked.where("q = 9"), "q", "qv").collect() == []
     with pytest.raises(ValueError, match="built for 3"):
         same.search(asked, "q", "qv", 5)
+
+
+def test_keys_may_be_words(spark):
+    rows = spark.createDataFrame([(f"w{i}", v) for i, v, _ in cloud(20)], "id string, v array<float>")
+    asked = rows.where("id in ('w1', 'w4')").withColumnsRenamed({"id": "q", "v": "qv"})
+    got = r.tile_search(rows, asked, "id", "v", "q", "qv", 1)
+    assert found(got) == {("w1", "w1", 1), ("w4", "w4", 1)}

@@ -151,6 +151,25 @@ def test_chunks_match_the_rule():
         list(c.sentence_aware_chunks("x", 10, 10))
 
 
+def test_mail_names_go_with_their_run_of_characters(spark):
+    import re
+    import time
+
+    draw = random.Random(5)
+    rows = ["".join(draw.choice("@@ab. \n") for _ in range(draw.randrange(12))) for _ in range(300)]
+    got = spark.createDataFrame([(x,) for x in rows], "x string").select("x", t.remove_emails(F.col("x")).alias("y")).collect()
+    assert all(r_["y"] == re.sub(r"\S+@\S+", "", r_["x"]) for r_ in got)
+    start = time.perf_counter()
+    long = spark.range(1).select(t.remove_emails(F.repeat(F.lit("ab."), 400_000)).alias("y"))
+    assert long.select(F.length("y")).first()[0] == 1_200_000 and time.perf_counter() - start < 20
+
+
+def test_chunks_of_rows_with_one_id_keep_their_metadata(spark):
+    rows = spark.createDataFrame([(1, "one text", "a"), (1, "another text", "b"), (2, None, "c"), (2, "", "d")], "id bigint, text string, lang string")
+    out = c.corpus_chunks(rows, "id", "text", F.length, F.create_map(F.lit("lang"), F.col("lang"))).collect()
+    assert sorted((x["id"], x["text"], x["metadata"]["lang"]) for x in out) == [("1_chunk_0", "another text", "b"), ("1_chunk_0", "one text", "a")]
+
+
 def test_empty_text_has_no_chunks(spark):
     docs = spark.createDataFrame([(1, ""), (2, None), (3, "One. Two.")], "id int, text string")
     assert [r["id"] for r in c.fixed_chunks(docs, "id", "text").collect()] == [3]
