@@ -9,11 +9,11 @@ from millrace.catalog.filters import FRAMES, RULE_TABLE, frame_columns, frames
 from millrace.catalog.registry import query, r6, table
 from millrace.catalog.timeseries import ALERTS, rates
 from millrace.catalog.windows import STREAKS, ZSCORE
+from millrace.operators import experiments as e
 from millrace.operators import filters as f
 from millrace.operators import timeseries as t
 from millrace.operators import windows as w
 from millrace.plans.quantiles import exact_quantiles
-from millrace.plans.sequential import fold_sorted
 from millrace.session import new_path
 from millrace.streaming import keyed as k
 from millrace.streaming import ledger, polling, uploads
@@ -268,14 +268,36 @@ def rollout_step():
     return s.rollout_step("us", "new", "ok", "ms", ["deployment", "event_id"])
 
 
-@query("str_10_rollout")
+ROLLOUT = """
+WITH RECURSIVE req AS (SELECT user_id % 5 AS deployment, event_id, epoch_us(ts) AS us, user_id % 2 = 1 AS new,
+  NOT (event_type = 'error' AND CAST(json_extract_string(props, '$.k') AS BIGINT) > 40) AS ok, CAST(value AS DOUBLE) AS ms FROM events),
+run AS MATERIALIZED (SELECT deployment, event_id, us, row_number() OVER w AS pos, count(*) FILTER (new) OVER w AS n, count(*) FILTER (new AND NOT ok) OVER w AS bad,
+  coalesce(sum(ms) FILTER (new) OVER w, 0) AS ms, count(*) FILTER (NOT new) OVER w AS base, coalesce(sum(ms) FILTER (NOT new) OVER w, 0) AS base_ms
+  FROM req WINDOW w AS (PARTITION BY deployment ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)),
+stage(deployment, step, d) AS (
+  SELECT deployment, 0, {'event_id': CAST(NULL AS BIGINT), 'pos': CAST(0 AS BIGINT), 'us': min(us), 'n': CAST(0 AS BIGINT), 'bad': CAST(0 AS BIGINT), 'ms': CAST(0 AS DOUBLE), 'base': CAST(0 AS BIGINT),
+    'base_ms': CAST(0 AS DOUBLE), 'action': 'promote', 'requests': CAST(0 AS BIGINT), 'error_rate': CAST(0 AS DOUBLE), 'latency_ratio': CAST(0 AS DOUBLE)} FROM run GROUP BY 1
+  UNION ALL
+  SELECT deployment, step + 1, arg_min({'event_id': event_id, 'pos': pos, 'us': us, 'n': n, 'bad': bad, 'ms': ms, 'base': base, 'base_ms': base_ms, 'action': action, 'requests': rn, 'error_rate': er, 'latency_ratio': slow}, pos)
+  FROM (SELECT *, CASE WHEN rn >= 10 AND (er > 0.05 OR slow > 1.5) THEN 'rollback' WHEN rn >= 100 AND us - since >= 300000000 AND NOT (er > 0.05 OR slow > 1.5) THEN 'promote' END AS action
+    FROM (SELECT r.*, s.step, s.d.us AS since, r.n - s.d.n AS rn, CASE WHEN r.n > s.d.n THEN (r.bad - s.d.bad) / (r.n - s.d.n) ELSE 0 END AS er,
+      CASE WHEN r.n > s.d.n AND r.base > s.d.base AND r.base_ms > s.d.base_ms THEN ((r.ms - s.d.ms) / (r.n - s.d.n)) / ((r.base_ms - s.d.base_ms) / (r.base - s.d.base)) ELSE 0 END AS slow
+      FROM stage s JOIN run r ON r.deployment = s.deployment AND r.pos > s.d.pos WHERE s.step < 5 AND s.d.action = 'promote') x) y
+  WHERE action IS NOT NULL GROUP BY deployment, step)
+SELECT CAST(deployment AS BIGINT) AS deployment, d.event_id AS event_id, d.action AS action, [10, 25, 50, 75, 100][step] AS traffic, d.requests AS requests,
+  round(d.error_rate, 6) + 0 AS error_rate, round(d.latency_ratio, 6) + 0 AS latency_ratio FROM stage WHERE step > 0"""
+
+
+@query("str_10_rollout", ROLLOUT)
 def _(spark, sf):
-    return fold_sorted(rollout(still(spark, sf)), ["deployment"], ["us", "event_id"], rollout_step(), ROLLOUT_SCHEMA)
+    out = e.rollout_stages(rollout(still(spark, sf)), ["deployment"], ["us", "event_id"], "us", "new", "ok", "ms", ["deployment", "event_id"])
+    return out.withColumns({"error_rate": r6("error_rate"), "latency_ratio": r6("latency_ratio")})
 
 
-@query("str_10_rollout_stream")
+@query("str_10_rollout_stream", ROLLOUT)
 def _(spark, sf):
-    return run_live(spark, sf, rollout, "deployment", rollout_step(), ROLLOUT_SCHEMA)
+    out = run_live(spark, sf, rollout, "deployment", rollout_step(), ROLLOUT_SCHEMA)
+    return out.withColumns({"error_rate": r6("error_rate"), "latency_ratio": r6("latency_ratio")})
 
 
 @query("str_11_drain", """

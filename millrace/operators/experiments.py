@@ -117,3 +117,55 @@ def index_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float =
 def side_by_side(metrics: DataFrame, runs: Sequence[str]) -> DataFrame:
     """``metrics``: run, metric, value; one column per run."""
     return metrics.groupBy("metric").pivot("run", list(runs)).agg(F.first("value"))
+
+
+def rollout_stages(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, canary: str, ok: str, latency: str, keep: Sequence[str],
+    stages: Sequence[int] = (10, 25, 50, 75, 100), error_limit: float = 0.05, latency_limit: float = 1.5,
+    min_rollback: int = 10, min_promote: int = 100, min_age: int = 300_000_000, hot_rows: int | None = None, salts: int = 16,
+) -> DataFrame:
+    """Promotions and the rollback of staged rollouts: one row each, at the request that decides it.
+
+    Running counts of a key are taken once; a stage's counts are those less
+    what stood there when the stage began. So a stage costs one pass, whose
+    first deciding request of each key is a minimum, and there are at most as
+    many passes as stages; no task holds the requests of a key. Keys meet the
+    begin of their stage in ``salts`` parts. Keys must not be null; a request
+    whose outcome is null has failed, one without a latency adds none. Latencies are
+    summed as doubles, so a ratio at the limit itself may differ in its last digit.
+    """
+    new, ms = F.coalesce(F.col(canary), F.lit(False)), F.coalesce(F.col(latency).cast("double"), F.lit(0.0))
+    bad = new & ~F.coalesce(F.col(ok), F.lit(False))
+    sums = {
+        "_n": new.cast("bigint"), "_bad": bad.cast("bigint"), "_ms": F.when(new, ms).otherwise(0.0),
+        "_base": (~new).cast("bigint"), "_base_ms": F.when(new, 0.0).otherwise(ms),
+    }
+    rows = Ordered(df, keys, order, hot_rows).running(**{n: ("sum", c) for n, c in sums.items()})
+    place = F.struct(*order)
+    own = [c for c in dict.fromkeys([*order, ts, *keep]) if c not in keys]
+    part = F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")
+    rows = materialise(rows.select(*keys, *own, place.alias("_at"), part.alias("_part"), *sums), "requests")
+    first = rows.groupBy(*keys).agg(F.min("_at").alias("_from"), F.min_by(ts, "_at").alias("_since"))
+    begin = first.select(*keys, F.lit(None).cast(rows.schema["_at"].dataType).alias("_from"), "_since", *[F.lit(0).alias(f"_0{n}") for n in sums])
+    done = None
+    for i, traffic in enumerate(stages):
+        parts = begin.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        seen = rows.join(parts, [*keys, "_part"]).where(F.col("_from").isNull() | (F.col("_at") > F.col("_from")))
+        n, wrong, spent, base, base_spent = (F.col(s) - F.col(f"_0{s}") for s in sums)
+        error = F.when(n > 0, wrong / n).otherwise(0.0)
+        slow = F.when((n > 0) & (base > 0) & (base_spent > 0), (spent / n) / (base_spent / base)).otherwise(0.0)
+        harmful = (error > error_limit) | (slow > latency_limit)
+        ready = (n >= min_promote) & (F.col(ts) - F.col("_since") >= min_age)
+        action = F.when((n >= min_rollback) & harmful, "rollback").when(ready & ~harmful, "promote")
+        told = seen.select(
+            *keys, *own, "_at", *sums, action.alias("action"), F.lit(traffic).alias("traffic"),
+            n.alias("requests"), error.alias("error_rate"), slow.alias("latency_ratio"),
+        ).where("action IS NOT NULL")
+        values = F.struct(*[c for c in told.columns if c not in keys])
+        events = materialise(told.groupBy(*keys).agg(F.min_by(values, "_at").alias("e")).select(*keys, "e.*"), "decisions")
+        done = events if done is None else done.unionByName(events)
+        promoted = events.where("action = 'promote'")
+        begin = promoted.select(*keys, F.col("_at").alias("_from"), F.col(ts).alias("_since"), *[F.col(s).alias(f"_0{s}") for s in sums])
+        if i + 1 < len(stages) and promoted.isEmpty():
+            break
+    return done.select(*keep, "action", "traffic", "requests", "error_rate", "latency_ratio")
