@@ -61,7 +61,7 @@ def _(spark, sf):
     return texts(spark, sf).select("doc_id", *[c.alias(n) for n, c in meta.items()])
 
 
-@query("fun_5_nfkc")
+@query("fun_5_nfkc", f"WITH c AS (SELECT doc_id, nfc_normalize(text) || ' fine ABC 1' AS x FROM documents) SELECT doc_id, {SHAPE} FROM c")
 def _(spark, sf):
     docs = docs_with(spark, sf, F.lit(" ﬁne ＡＢＣ ①"))
     return digest(docs, t.nfkc("text"))

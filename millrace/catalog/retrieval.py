@@ -21,6 +21,10 @@ WITH RECURSIVE g(doc_id, n, start, fin, last, chunk) AS (
 SELECT g.doc_id, CAST(chunk AS INT) AS chunk_id, md5(regexp_replace(substring(d.text, start + 1, fin - start), '^\s+|\s+$', '', 'g')) AS digest, CAST(start AS INT) AS start_idx, CAST(fin AS INT) AS end_idx
 FROM g JOIN documents d ON d.doc_id = g.doc_id"""
 
+CORPUS = CHUNKS.partition("SELECT g.doc_id, CAST(chunk")[0] + r"""
+SELECT g.doc_id || '_chunk_' || chunk AS id, g.doc_id, CAST(length(regexp_replace(substring(d.text, start + 1, fin - start), '^\s+|\s+$', '', 'g')) AS INT) AS chars, CAST(64 AS INT) AS dimensions, d.lang
+FROM g JOIN documents d ON d.doc_id = g.doc_id"""
+
 
 def digested(df, *columns):
     return df.select(*columns[:1], "chunk_id", F.md5("text").alias("digest"), *columns[1:])
@@ -70,7 +74,7 @@ def _(spark, sf):
     return digested(c.word_chunks(texts(spark, sf), "doc_id", "text"), "doc_id", "start_idx", "end_idx", "token_count")
 
 
-@query("chk_5_corpus_chunks")
+@query("chk_5_corpus_chunks", CORPUS)
 def _(spark, sf):
     meta = F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"))
     out = c.corpus_chunks(texts(spark, sf), "doc_id", "text", udfs.hashing_embedder(64), meta)

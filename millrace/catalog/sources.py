@@ -40,7 +40,11 @@ def write_documents(spark, sf, path):
     ).write.partitionBy("source", "slot").text(path)
 
 
-@query("src_4_directory_loader")
+@query("src_4_directory_loader", """
+WITH files AS (SELECT string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS text FROM documents GROUP BY source, doc_id % 8),
+rows AS (SELECT 'p_partkey: ' || p_partkey || ' | p_name: ' || p_name || ' | p_brand: ' || p_brand || ' | p_type: ' || p_type || ' | p_size: ' || p_size || ' | p_retailprice: ' || p_retailprice AS text FROM part)
+SELECT 'txt' AS file_type, count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS errors FROM files
+UNION ALL SELECT 'csv', count(*), CAST(sum(length(text)) AS BIGINT), 0 FROM rows""")
 def _(spark, sf):
     path = new_path(spark, "mixed")
     write_documents(spark, sf, f"{path}/text")
@@ -73,7 +77,12 @@ def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", parts["title"].alias("title"), F.md5(parts["text"]).alias("digest"))
 
 
-@query("src_6_html_parser")
+@query("src_6_html_parser", r"""
+WITH b AS (SELECT page_id, url, html, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', chr(1), 'g'), '(?s)<!--.*?-->', chr(1), 'g'), '</?[a-zA-Z!][^>]*>', chr(1), 'g') AS t FROM pages),
+p AS (SELECT page_id, url, html, list_filter(list_transform(string_split(t, chr(1)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS p FROM b),
+x AS (SELECT page_id, url, nullif(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '') AS title, array_to_string(p, chr(10)) AS text FROM p),
+d AS (SELECT page_id, url, replace(replace(title, '&quot;', '"'), '&copy;', '©') AS title, replace(replace(replace(text, '&quot;', '"'), '&copy;', '©'), '&middot;', '·') AS text FROM x)
+SELECT page_id, coalesce(replace(title, '&amp;', '&'), url) AS title, replace(text, '&amp;', '&') AS text FROM d""")
 def _(spark, sf):
     return s.html_documents(table(spark, sf, "pages"), "page_id", "html", F.col("url"))
 
