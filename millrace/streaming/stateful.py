@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans.ordered import Ordered
-from millrace.plans.sequential import Ranges, Step, fold_sorted, segments_by_gap
+from millrace.plans.sequential import Ranges, Step, fold_sliced, fold_sorted, segments_by_gap
 
 # -- rolling z-score -------------------------------------------------------------------
 
@@ -76,7 +76,7 @@ def cooldown_batch(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
     """An event a cooldown or more after the one before it always fires: a key is cut there."""
     cut = segments_by_gap(df, keys, order, lambda prev: F.col(ts) - prev >= F.col(cooldown), F.col(ts), hot_rows)
     schema = ", ".join(f"{n} {t}" for n, t in keep.items())
-    return fold_sorted(cut, [*keys, "segment"], order, cooldown_step(ts, cooldown, list(keep)), schema)
+    return fold_sliced(cut, [*keys, "segment"], order, cooldown_step(ts, cooldown, list(keep)), schema, hot_rows)
 
 
 # -- file rotation ----------------------------------------------------------------------
@@ -125,7 +125,7 @@ def rotation_batch(
     marked = Ordered(sure_rows, keys, order, hot_rows, rows.sizes).running(_closed=("sum", F.col("_sure")))
     cut = marked.withColumn("segment", F.col("_closed") - F.col("_sure")).drop("_sure", "_closed")
     schema = ", ".join(f"{n} {t}" for n, t in keep.items()) + ", " + ROTATION
-    return fold_sorted(cut, [*keys, "segment"], order, rotation_step(ts, size, anomaly, list(keep), max_bytes, max_age), schema)
+    return fold_sliced(cut, [*keys, "segment"], order, rotation_step(ts, size, anomaly, list(keep), max_bytes, max_age), schema, hot_rows)
 
 
 # -- request batching -----------------------------------------------------------------------
@@ -244,7 +244,7 @@ def rate_limit_batch(
     """A full window without a request empties the memory: a key is cut there."""
     cut = segments_by_gap(df, keys, order, lambda prev: F.col(ts) - prev >= window, F.col(ts), hot_rows)
     schema = ", ".join(f"{n} {t}" for n, t in keep.items()) + ", accepted boolean"
-    return fold_sorted(cut, [*keys, "segment"], order, rate_limit_step(ts, exempt, list(keep), limit, window), schema)
+    return fold_sliced(cut, [*keys, "segment"], order, rate_limit_step(ts, exempt, list(keep), limit, window), schema, hot_rows)
 
 
 # -- health --------------------------------------------------------------------------------------
