@@ -82,7 +82,7 @@ WITH b AS (SELECT page_id, url, html, regexp_replace(regexp_replace(regexp_repla
 p AS (SELECT page_id, url, html, list_filter(list_transform(string_split(t, chr(1)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS p FROM b),
 x AS (SELECT page_id, url, nullif(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '') AS title, array_to_string(p, chr(10)) AS text FROM p),
 d AS (SELECT page_id, url, replace(replace(title, '&quot;', '"'), '&copy;', '©') AS title, replace(replace(replace(text, '&quot;', '"'), '&copy;', '©'), '&middot;', '·') AS text FROM x)
-SELECT page_id, coalesce(replace(title, '&amp;', '&'), url) AS title, replace(text, '&amp;', '&') AS text FROM d""")
+SELECT page_id, coalesce(regexp_replace(title, '&amp;?', '&', 'g'), url) AS title, regexp_replace(text, '&amp;?', '&', 'g') AS text FROM d""")
 def _(spark, sf):
     return s.html_documents(table(spark, sf, "pages"), "page_id", "html", F.col("url"))
 
