@@ -73,10 +73,12 @@ def fuzzy_dedup(
     Equal vectors are one row; a row without a vector and a zero vector are
     close to no other and kept. Keys must not be null.
     """
-    size = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x)
-    lone = F.when(size.isNull() | (size == 0), F.col(key))
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x)
+    lone = F.when(squares.isNull() | (squares == 0), F.col(key))
     same = df.groupBy(F.col(vector).alias("_v"), lone.alias("_lone")).agg(F.min(key).alias(key))
-    placed = Ordered(same, [], [key], hot_rows=100_000).running(_at=("count", F.lit(1)))
+    # at most about 4,096 slices of at least 4,096 rows
+    size = df.count()
+    placed = Ordered(same, [], [key], max(4096, size // 4096), (size, size)).running(_at=("count", F.lit(1)))
     rows = materialise(placed, "placed")
     kept_path = new_path(df.sparkSession, "kept")
     rows.where("_lone IS NOT NULL").select(key).write.parquet(kept_path)
