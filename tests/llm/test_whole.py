@@ -98,3 +98,23 @@ def test_grouped_numbers_before_other_numbers():
         new, n = hide("to DE89 3704 0044 0532 0130 00" + after)
         assert n == 1 and new == "to " + " ".join(one[i : i + 4] for i in range(0, 22, 4)) + after
     assert hide("DE88 3704 0044 0532 0130 00") == ("DE88 3704 0044 0532 0130 00", 0)
+
+
+def test_secret_model_is_trained_on_all_texts(spark, monkeypatch):
+    rows = [(i, f"plainword{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x id {10**15 + i} end", "s") for i in range(4500)]
+    rows += [(4500 + i, f'token = "a{i}b7C{i * 7919}dE9f0{i}q8Z" mark', "s") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    seen = []
+    train = secret_scans.train
+
+    def spy(findings, words, **more):
+        seen.append((findings.where("label is not null").count(), words))
+        return train(findings, words, **more)
+
+    monkeypatch.setattr(secret_scans, "train", spy)
+    model = secret_scans.train_on(docs)
+    labelled = secret_scans.labelled_findings(docs, "doc_id", "text", "source").where("label is not null").count()
+    assert seen[0][0] == labelled >= 4500
+    assert seen[0][1] >= {"token", "mark", "end", "id"}
+    got = {r.doc_id: r.n_secrets for r in secret_scans.scan(docs, model).collect()}
+    assert all(got[i] == (1 if i >= 4500 else 0) for i in got)
