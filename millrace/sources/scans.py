@@ -6,15 +6,17 @@ Every scan takes its schema; nothing is inferred.
 from __future__ import annotations
 
 import csv
-import io
 import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
+from itertools import islice
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 DOCUMENT = "path string, doc_id string, text string, metadata map<string,string>, error string"
 
@@ -155,11 +157,20 @@ def json_documents(records: Column, text_key: str) -> dict[str, Column]:
     }
 
 
-Loader = Callable[[str], Sequence[tuple[str | None, str, dict[str, str]]]]
+Loader = Callable[[str], Iterable[tuple[str | None, str, dict[str, str]]]]
+
+
+def _lines(text: str) -> Iterator[str]:
+    """The lines of a text with their ends, without a second copy of it."""
+    at = 0
+    while at < len(text):
+        end = text.find("\n", at) + 1 or len(text)
+        yield text[at:end]
+        at = end
 
 
 def _load_csv(text: str):
-    for i, row in enumerate(csv.DictReader(io.StringIO(text))):
+    for i, row in enumerate(csv.DictReader(_lines(text))):
         yield str(i), row.get("text") or " | ".join(f"{k}: {v}" for k, v in row.items()), {**row, "row_number": str(i)}
 
 
@@ -195,28 +206,64 @@ LOADERS: dict[str, Loader] = {
 def load_directory(
     spark: SparkSession, path: str, glob: str = "*", exclude: Sequence[str] = (), loaders: dict[str, Loader] | None = None
 ) -> DataFrame:
-    """Documents of all files with a known suffix; a failing file gives a row with ``error``."""
+    """Documents of all files with a known suffix; a failing file gives a row with ``error``.
+
+    Plain text, a file of which is one document, is decoded without Python if it
+    is valid. Of other files a task holds one text and ``LOADED`` of its
+    documents at a time: a file with more is gone through once to see that it
+    does not fail, and a second time for its documents.
+    """
     loaders = loaders or LOADERS
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    suffix = F.lower(F.concat(F.lit("."), F.element_at(F.split(_name(F.col("path")), r"\."), -1)))
-    wanted = suffix.isin(*loaders)
-    for part in exclude:
-        wanted = wanted & ~F.col("path").contains(part)
-    rows = files.where(wanted).select("path", suffix.alias("suffix"), _stem(F.col("path")).alias("stem"), "content")
+    # conditions on the names alone, so that each file is read by one of the scans only
+    name = F.col("_metadata.file_path")
+    suffix = F.lower(F.concat(F.lit("."), F.element_at(F.split(_name(name), r"\."), -1)))
+    plain = [kind for kind, loader in loaders.items() if loader is _load_text]
+    parsed = [kind for kind in loaders if kind not in plain]
+
+    def files(kinds: list[str]) -> DataFrame:
+        wanted = suffix.isin(*kinds)
+        for part in exclude:
+            wanted = wanted & ~F.col("path").contains(part)
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+        return found.where(wanted).select("path", suffix.alias("suffix"), _stem(F.col("path")).alias("stem"), "content")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def made(p, kind, stem, found):
+            rows = [(p, stem if i is None else f"{stem}_{i}", text, {"source": p, "file_type": kind[1:], **meta}, None) for i, text, meta in found]
+            return pd.DataFrame(rows, columns=["path", "doc_id", "text", "metadata", "error"])
+
         for b in batches:
             for p, kind, stem, content in zip(b["path"], b["suffix"], b["stem"], b["content"]):
-                out = []
                 try:
-                    for i, text, meta in loaders[kind](bytes(content).decode("utf-8", "ignore")):
-                        full = {"source": p, "file_type": kind[1:], **meta}
-                        out.append((p, stem if i is None else f"{stem}_{i}", text, full, None))
+                    text = str(content, "utf-8", "ignore")
+                    found = iter(loaders[kind](text))
+                    out, more = made(p, kind, stem, islice(found, LOADED)), 0
+                    for _ in found:
+                        more += 1
                 except Exception as exc:
-                    out = [(p, stem, None, None, f"{type(exc).__name__}: {exc}")]
-                yield pd.DataFrame(out, columns=["path", "doc_id", "text", "metadata", "error"])
+                    error = f"{type(exc).__name__}: {exc}"
+                    out, more = pd.DataFrame([(p, stem, None, None, error)], columns=["path", "doc_id", "text", "metadata", "error"]), 0
+                yield out
+                if more:
+                    found = islice(loaders[kind](text), LOADED, None)
+                    while len(out := made(p, kind, stem, islice(found, LOADED))):
+                        yield out
+
+    whole, valid = files(plain), F.is_valid_utf8(F.col("content").cast("string"))
+    text = F.coalesce(F.when(valid, F.col("content").cast("string")), _decoded(F.when(~valid, F.col("content"))))
+    about = F.create_map(F.lit("source"), F.col("path"), F.lit("file_type"), F.substring("suffix", 2, 1 << 20))
+    texts = whole.select("path", F.col("stem").alias("doc_id"), text.alias("text"), about.alias("metadata"), F.lit(None).cast("string").alias("error"))
+    return texts.unionByName(files(parsed).mapInPandas(run, DOCUMENT))
+
+
+#: documents of one file that a task hands on together
+LOADED = 1024
+
 
-    return rows.mapInPandas(run, DOCUMENT)
+@F.arrow_udf(StringType())
+def _decoded(content: pa.Array) -> pa.Array:
+    """UTF-8 text with undecodable bytes dropped, as the decoder of Python drops them."""
+    return pa.array([None if not c.is_valid else str(c.as_buffer(), "utf-8", "ignore") for c in content], pa.string())
 
 
 # -- recorded files -----------------------------------------------------------------

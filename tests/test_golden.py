@@ -2,7 +2,10 @@
 
 import math
 import random
+import unicodedata
+import weakref
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -320,3 +323,45 @@ def test_lossless_layout_for_nulls_in_keys(spark):
 def test_frames_without_any_rule_column(spark):
     out = f.rule_events(spark.createDataFrame([(1,)], "speed int"))
     assert out.columns == ["speed", "rule", "priority", "score", "pre_sec", "post_sec"] and out.count() == 0
+
+
+def test_slices_of_text_functions_chunks_and_files(spark, tmp_path, monkeypatch):
+    """Large batches are worked on in slices: the same rows, a bounded number of them held."""
+    texts = [None, "", "plain", "é é ñ ิ", "ﬁ①", "x" * (1 << 20) + "é"] * 3
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, text string").coalesce(1)
+    got = {r["id"]: (r["a"], r["n"]) for r in rows.select("id", t.remove_accents("text").alias("a"), t.nfkc("text").alias("n")).collect()}
+    bare = lambda x: None if x is None else "".join(k for k in unicodedata.normalize("NFD", x) if unicodedata.category(k) != "Mn")
+    assert got == {i: (bare(x), None if x is None else unicodedata.normalize("NFKC", x)) for i, x in enumerate(texts)}
+    # slices, not the whole batch
+    assert max(map(len, t.remove_accents.func(iter([pa.array(["é" * 1000] * 10_000)])))) <= 1024
+    docs = spark.createDataFrame([(1, "word. " * 400_000)], "id int, text string")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+        run = c.fixed_chunks(docs, "id", "text")
+    sizes = [b.num_rows for b in run(iter(docs.toArrow().to_batches()))]
+    assert max(sizes) <= c.CHUNKS_AT_ONCE < sum(sizes) == len(list(c.sentence_aware_chunks("word. " * 400_000)))
+    (tmp_path / "many.csv").write_text("k,text\n" + "".join(f"{i},t{i}\n" for i in range(3000)))
+    (tmp_path / "late.csv").write_text("k,v\n" + "".join(f"{i},t{i}\n" for i in range(3000)) + "x," + "y" * 200_000 + "\n")
+    (tmp_path / "odd.txt").write_bytes(b"a\xef\xbf\xbdb\xffc\r\n")
+    (tmp_path / "UP.TXT").write_bytes("ä".encode())
+    docs = scans.load_directory(spark, str(tmp_path)).collect()
+    many = {r["doc_id"]: r["text"] for r in docs if r["path"].endswith("many.csv")}
+    assert many == {f"many_{i}": f"t{i}" for i in range(3000)}
+    late = [r for r in docs if r["path"].endswith("late.csv")]
+    assert len(late) == 1 and late[0]["doc_id"] == "late" and late[0]["text"] is None and late[0]["error"].startswith("Error")
+    plain = {r["doc_id"]: (r["text"], r["metadata"]["file_type"], r["error"]) for r in docs if r["path"].lower().endswith("txt")}
+    assert plain == {"odd": ("a�bc\r\n", "txt", None), "UP": ("ä", "txt", None)}
+    # a task holds a bounded number of a file's documents
+    def counted(text):
+        live = weakref.WeakSet()
+
+        class Text(str):
+            pass
+
+        for i in range(20_000):
+            live.add(one := Text(i))
+            assert len(live) < 5000
+            yield str(i), one, {}
+
+    found = scans.load_directory(spark, str(tmp_path), glob="many.csv", loaders={".csv": counted})
+    assert found.where("error is null").count() == 20_000
