@@ -7,11 +7,15 @@ the JVM.
 from __future__ import annotations
 
 import unicodedata
-import pandas as pd
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from millrace.plans.layout import byte_slices
+
 URL = r"https?://[a-z!$-_]+"  # the range $-_ holds digits, capitals and most punctuation
 # a run without blanks goes whole if an @ stands inside; tried at the start of a run only, so linear in its length
 EMAIL = r"(?<!\S)\S+@\S+"
@@ -74,19 +78,29 @@ def text_metadata(text: Column) -> dict[str, Column]:
     }
 
 
-@F.pandas_udf(StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+def _by_slices(each: Callable[[str], str]):
+    """Column function that applies ``each`` to texts, a bounded size of them at a time; null stays null."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for whole in batches:
+            if not len(whole):
+                yield pa.array([], pa.string())
+            for batch in byte_slices(pa.RecordBatch.from_arrays([whole], ["text"]), 0, size=1 << 20):
+                yield pa.array([None if t is None else each(t) for t in batch.column(0).to_pylist()], pa.string())
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, StringType())
+
 
+def _bare(text: str) -> str:
+    if text.isascii():
+        return text
+    parted = unicodedata.normalize("NFD", text)
+    return parted.translate({ord(c): None for c in set(parted) if unicodedata.category(c) == "Mn"})
 
-@F.pandas_udf(StringType())
-def remove_accents(text: pd.Series) -> pd.Series:
-    def bare(t):
-        return None if t is None else "".join(
-            c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn"
-        )
 
-    return text.map(bare)
+nfkc = _by_slices(lambda text: text if text.isascii() else unicodedata.normalize("NFKC", text))
+remove_accents = _by_slices(_bare)
 
 
 def expand_contractions(text: Column) -> Column:
