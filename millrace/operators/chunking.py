@@ -9,17 +9,20 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
+from pyspark.sql.types import StructType
 
 from millrace.functions.text import strip, words
-from millrace.plans.layout import spread
+from millrace.plans.layout import byte_slices, spread
 
 SENTENCE_END = re.compile(r"[.!?]\s+", re.ASCII)
 BLANK = " \t\n\r\x0b\x0c"
 LOOK_BACK = 100
+#: chunks that a task hands on together
+CHUNKS_AT_ONCE = 2048
 
 
 def sentence_aware_chunks(text: str, size: int = 512, overlap: int = 50) -> Iterator[tuple[int, str, int, int]]:
@@ -52,16 +55,33 @@ def sentence_aware_chunks(text: str, size: int = 512, overlap: int = 50) -> Iter
 def fixed_chunks(docs: DataFrame, key: str, text: str, size: int = 512, overlap: int = 50, keep: Sequence[str] = ()) -> DataFrame:
     """Chunks of about ``size`` characters that end with a sentence; ``keep`` names columns that go with each chunk."""
     own = [key, *keep]
-    kinds = dict(docs.dtypes)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            held = zip(b[text], *[b[c] for c in own])
-            rows = [(*k, *c) for t, *k in held if t for c in sentence_aware_chunks(t, size, overlap)]
-            yield pd.DataFrame(rows, columns=[*own, "chunk_id", "text", "start_idx", "end_idx"])
-
-    columns = ", ".join(f"`{c}` {kinds[c]}" for c in own)
-    return spread(docs.select(*own, text), key).mapInPandas(run, f"{columns}, chunk_id int, text string, start_idx int, end_idx int")
+    rows = spread(docs.select(*own, text), key)
+    schema = StructType([*rows.schema.fields[:-1], *StructType.fromDDL("chunk_id int, text string, start_idx int, end_idx int").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out = to_arrow_schema(schema)
+
+        def made(batch, rows, chunks):
+            kept = [batch.column(i).take(pa.array(rows, pa.int32())).cast(out.field(i).type) for i in range(len(own))]
+            parts = zip(*chunks)
+            return pa.RecordBatch.from_arrays([*kept, *[pa.array(p, out.field(len(own) + i).type) for i, p in enumerate(parts)]], schema=out)
+
+        for whole in batches:
+            for batch in byte_slices(whole, len(own), size=1 << 20):
+                places, chunks = [], []
+                for n, t in enumerate(batch.column(len(own)).to_pylist()):
+                    for chunk in sentence_aware_chunks(t or "", size, overlap):
+                        places.append(n)
+                        chunks.append(chunk)
+                        if len(chunks) == CHUNKS_AT_ONCE:
+                            yield made(batch, places, chunks)
+                            places, chunks = [], []
+                if chunks:
+                    yield made(batch, places, chunks)
+
+    return rows.mapInArrow(run, schema)
 
 
 def register_chunk_function(spark: SparkSession, name: str = "sentence_chunks") -> None:
