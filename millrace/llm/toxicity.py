@@ -6,11 +6,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import byte_slices, narrow, per_text
-from millrace.llm.ngrams import Distinct, char_grams, fit_logistic, sigmoid
+from millrace.llm.ngrams import ENTRIES, Distinct, char_grams, fit_blocks, pack_slots, sigmoid, unpack_slots
 
 BITS = 18
 SIZES = (3, 4, 5)
@@ -69,18 +70,22 @@ def train(
 
     def work():
         distinct = Distinct(BITS)
-        return lambda raw: (np.sort(slots_of(raw, distinct)).astype("<u4").tobytes(),)
+        return lambda raw: (pack_slots(np.sort(slots_of(raw, distinct))),)
 
-    table = per_text(chosen, {"slots": "binary"}, work).toArrow().sort_by([("doc_id", "ascending")])
+    table = per_text(chosen, {"slots": "binary"}, work).toArrow()
+    table = table.take(pc.sort_indices(table, [("doc_id", "ascending")]))
     label = table["label"].combine_chunks().to_numpy(zero_copy_only=False).astype(float)
-    # views of the table's own memory; what is built from them holds the used n-grams alone
-    held = [np.frombuffer(b.as_buffer(), "<u4") if b.as_buffer().size else np.zeros(0, "<u4") for b in table["slots"]]
+
+    def texts_slots():
+        # views of the table's own memory, unpacked one at a time
+        return (unpack_slots(b.as_buffer()) for b in table["slots"])
+
     width = 1 << BITS
     if len(label) == 0 or label.min() == label.max():
         share = float(np.clip(label.mean(), 0.01, 0.99)) if len(label) else 0.5
         return ToxicityModel(np.zeros(width, np.float32), float(np.log(share / (1 - share))))
     ones, others = np.zeros(width, np.int32), np.zeros(width, np.int32)
-    for slots, toxic in zip(held, label):
+    for slots, toxic in zip(texts_slots(), label):
         # a text has a slot once
         (ones if toxic else others)[slots] += 1
     ratio = np.log((ones + smoothing) / (label.sum() + 2 * smoothing)) - np.log(
@@ -88,10 +93,21 @@ def train(
     )
     used = (np.abs(ratio) > least_ratio) & (ones + others >= least_texts)
     place, scale = (np.cumsum(used) - 1).astype(np.int32), ratio[used]
-    kept = [place[slots[used[slots]]] for slots in held]
-    rows = np.repeat(np.arange(len(kept), dtype=np.int32), [len(k) for k in kept])
-    index = np.concatenate(kept)
-    weights, bias = fit_logistic(index, rows, scale[index], label, int(used.sum()), 1e-5, 60)
+    # the used n-grams of all texts, one text after the other, are all that stays
+    index, ends, at = np.empty(int((ones + others)[used].sum()), np.int32), np.zeros(len(label) + 1, np.int64), 0
+    for i, slots in enumerate(texts_slots()):
+        kept = place[slots[used[slots]]]
+        index[at : at + len(kept)] = kept
+        ends[i + 1] = at = at + len(kept)
+    del table
+
+    def blocks():
+        for at in range(0, len(index), ENTRIES):
+            part = index[at : at + ENTRIES].astype(np.int64)
+            rows = np.repeat(np.arange(len(label)), np.diff(np.clip(ends, at, at + len(part))))
+            yield part, rows, scale[part]
+
+    weights, bias = fit_blocks(blocks, label, int(used.sum()), 1e-5, 60)
     full = np.zeros(width, np.float32)
     full[used] = weights * scale
     return ToxicityModel(full, float(bias))

@@ -1,10 +1,12 @@
 """Whole jobs: neighbours of all shards, copied pages, long and short secrets, grouped numbers."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
-from millrace.llm import html_text, packing, pii, secret_scans
+from millrace.llm import html_text, ngrams, packing, pii, secret_scans, toxicity
 from millrace.llm.catalog import tokenizer_files
 
 
@@ -118,3 +120,44 @@ def test_secret_model_is_trained_on_all_texts(spark, monkeypatch):
     assert seen[0][1] >= {"token", "mark", "end", "id"}
     got = {r.doc_id: r.n_secrets for r in secret_scans.scan(docs, model).collect()}
     assert all(got[i] == (1 if i >= 4500 else 0) for i in got)
+
+
+def test_packed_slots_are_the_slots():
+    rng = np.random.default_rng(5)
+    some = np.flatnonzero(rng.random(1 << toxicity.BITS) < 0.01)
+    for slots in ([], [0], [254], [255], [256], [0, 1, 255, 256, 766], [(1 << toxicity.BITS) - 1], some):
+        packed = ngrams.pack_slots(np.array(slots, np.int64))
+        assert ngrams.unpack_slots(packed).tolist() == list(slots)
+        assert ngrams.unpack_slots(pa.py_buffer(packed)).tolist() == list(slots)
+    assert len(ngrams.pack_slots(some)) < 1.2 * len(some)
+
+
+def test_blocks_of_entries_fit_the_same_weights(monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = np.repeat(np.arange(50), rng.integers(0, 40, 50))
+    index, values, labels = rng.integers(0, 30, len(rows)), rng.random(len(rows)), rng.integers(0, 2, 50).astype(float)
+    whole = ngrams.fit_logistic(index, rows, values, labels, 30, 1e-5)
+    monkeypatch.setattr(ngrams, "ENTRIES", 7)
+    cut = ngrams.fit_logistic(index.astype(np.int32), rows.astype(np.int32), values, labels, 30, 1e-5)
+    assert cut[0].tolist() == whole[0].tolist() and cut[1] == whole[1]
+
+
+def test_toxicity_holds_little_on_the_driver(spark, monkeypatch):
+    """The fit holds a few bytes for each n-gram of a text, and less comes to the driver."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(4000)]
+    texts = [" ".join(rng.choices(words[i % 2 * 1000 : i % 2 * 1000 + 3000], k=1500)) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id int, toxic int")
+    grams = sum(len(toxicity.slots_of(t.encode(), ngrams.Distinct(toxicity.BITS))) for t in texts)
+    frame, sizes = type(docs), []
+    collect = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda df: (sizes.append((t := collect(df)).nbytes), t)[1])
+    tracemalloc.start()
+    model = toxicity.train(docs, labels)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    right = [(model.score(toxicity.slots_of(t.encode(), ngrams.Distinct(toxicity.BITS))) > 0.5) == i % 2 for i, t in enumerate(texts)]
+    assert np.mean(right) > 0.9
+    assert max(sizes) < 2 * grams
+    assert held < 10 * grams + (24 << 20), (held, grams)
