@@ -6,7 +6,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from millrace.llm import html_text, ngrams, packing, pii, secret_scans, toxicity
+from millrace.llm import catalog, html_text, ngrams, packing, pii, secret_scans, toxicity
 from millrace.llm.catalog import tokenizer_files
 
 
@@ -122,6 +122,33 @@ def test_secret_model_is_trained_on_all_texts(spark, monkeypatch):
     assert all(got[i] == (1 if i >= 4500 else 0) for i in got)
 
 
+def words_of_training(monkeypatch):
+    """The dictionaries that ``secret_scans.train`` gets from here on."""
+    seen = []
+    train = secret_scans.train
+
+    def spy(findings, words, **more):
+        seen.append(words)
+        return train(findings, words, **more)
+
+    monkeypatch.setattr(secret_scans, "train", spy)
+    return seen
+
+
+def test_secret_dictionary_counts_texts_without_a_candidate(spark, monkeypatch, tmp_path):
+    # each word beside a token stands in one text with a candidate; all but "lonely" also in one without
+    rows = [(1, 'copper token = "a1b2C3d4E5f6a7b8" lantern', "s"), (2, "lonely id 1234567812345678 meadow", "s")]
+    # so many words that the counts are handed on before the last rows are read
+    names = ("".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(140_000))
+    rows += [(3, "no key, but copper " + " ".join(names), "s"), (4, None, None)]
+    rows += [(5 + i, "plain prose", "s") for i in range(1100)] + [(2000, "A Lantern in the MEADOW", "s")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    seen = words_of_training(monkeypatch)
+    got = catalog.QUERIES["op4_secret_scans"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and seen == [frozenset({"copper", "lantern", "meadow"})]
+
+
 def test_packed_slots_are_the_slots():
     rng = np.random.default_rng(5)
     some = np.flatnonzero(rng.random(1 << toxicity.BITS) < 0.01)
