@@ -1,7 +1,9 @@
 """Whole jobs: neighbours of all shards, copied pages, long and short secrets, grouped numbers."""
 
 import random
+import re
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -149,6 +151,31 @@ def test_secret_dictionary_counts_texts_without_a_candidate(spark, monkeypatch,
     assert len(got) == len(rows) and seen == [frozenset({"copper", "lantern", "meadow"})]
 
 
+def test_pipeline_looks_words_up_as_in_the_whole_dictionary(spark, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    names = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(500)]
+    texts = []
+    for i in range(300):
+        text = rng.choices(names, k=3)
+        if i % 10 == 0:
+            key = "".join(rng.choice("abcdef0123456789") for _ in range(40))
+            text[1:1] = [f'token = "{key}"', rng.choice(names), f"id {rng.randrange(10**15, 10**16)}"]
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id int, text string, source string")
+    docs = docs.repartition(5)
+    stands = Counter(w for t in texts for w in set(re.findall(r"[^\W\d_]{2,}", t.lower())))
+    whole = frozenset(w for w, n in stands.items() if n >= 2)
+    around = [(t[a:b], t[max(0, a - 40) : a], t[b : b + 40]) for t in texts for a, b in secret_scans.candidates(t)]
+    seen = words_of_training(monkeypatch)
+    got = {r.doc_id: r.text for r in corpus_pipeline.redact_secrets(spark, docs, "").collect()}
+    assert len(around) == 60 and len(seen) == 1 and seen[0] <= whole
+    for x in around:
+        assert secret_scans.describe(*x, "s", seen[0]) == secret_scans.describe(*x, "s", whole)
+    assert sum(t.count("[SECRET]") for t in got.values()) == 30 and got[1] == texts[1]
+
+
 def test_packed_slots_are_the_slots():
     rng = np.random.default_rng(5)
     some = np.flatnonzero(rng.random(1 << toxicity.BITS) < 0.01)
